@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Report column -> least value that falls into it; a range ends where the next starts.
 PAGE_VIEWS = {
     "pv0_uv": 0,
@@ -51,11 +48,7 @@ VISIT_SECONDS = {
 }
 
 
-def bucket_of(value: Column, buckets: dict[str, int]) -> Column:
-    """Name of the range that holds `value`."""
+def bucket_of(value: str, buckets: dict[str, int]) -> str:
+    """SQL for the name of the range that holds `value`."""
     highest_first = sorted(buckets.items(), key=lambda item: item[1], reverse=True)
-    name, least = highest_first[0]
-    chosen = F.when(value >= least, name)
-    for name, least in highest_first[1:]:
-        chosen = chosen.when(value >= least, name)
-    return chosen
+    return "CASE " + " ".join(f"WHEN {value} >= {least} THEN '{name}'" for name, least in highest_first) + " END"

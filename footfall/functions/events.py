@@ -1,34 +1,38 @@
-"""Which tracked events are page views."""
+"""Which tracked events are page views. Conditions are SQL texts over the log columns."""
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Iterable
 
 from footfall.model import PAGE_VIEW_EVENTS
 
 
-def is_page_view() -> Column:
-    """A page view: the event that the row's own library sends for one."""
-    pairs = ((F.col("lib") == lib) & (F.col("event") == event) for lib, event in PAGE_VIEW_EVENTS.items())
-    return reduce(or_, pairs)
+def literal(value: str) -> str:
+    """A text as an SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def one_of(column: str, values: Iterable[str]) -> str:
+    return f"{column} IN ({', '.join(literal(value) for value in values)})"
 
 
-def is_new_page_view() -> Column:
-    """A page view on the visitor's first day."""
-    return is_page_view() & (F.col("is_first_day") == "true")
+_SCREENS = {lib: event for lib, event in PAGE_VIEW_EVENTS.items() if lib != "js"}
 
+# A page view: the event that the row's own library sends for one.
+IS_PAGE_VIEW = (
+    "("
+    + " OR ".join(f"(lib = {literal(lib)} AND event = {literal(event)})" for lib, event in PAGE_VIEW_EVENTS.items())
+    + ")"
+)
 
-def is_activity() -> Column:
-    """The lifecycle's wider rule: apps and mini programs may send each other's screen event."""
-    screens = {lib: event for lib, event in PAGE_VIEW_EVENTS.items() if lib != "js"}
-    on_web = (F.col("lib") == "js") & (F.col("event") == PAGE_VIEW_EVENTS["js"])
-    return on_web | (F.col("lib").isin(*screens) & F.col("event").isin(*sorted(set(screens.values()))))
+# A page view on the visitor's first day.
+IS_NEW_PAGE_VIEW = f"({IS_PAGE_VIEW} AND is_first_day = 'true')"
 
+# The lifecycle's wider rule: apps and mini programs may send each other's screen event.
+IS_ACTIVITY = (
+    f"((lib = 'js' AND event = {literal(PAGE_VIEW_EVENTS['js'])}) OR"
+    f" ({one_of('lib', _SCREENS)} AND {one_of('event', sorted(set(_SCREENS.values())))}))"
+)
 
-def is_page_event() -> Column:
-    """The page flow's rule: any page event, whatever the library."""
-    return F.col("event").isin(*sorted(set(PAGE_VIEW_EVENTS.values())))
+# The page flow's rule: any page event, whatever the library.
+IS_PAGE_EVENT = one_of("event", sorted(set(PAGE_VIEW_EVENTS.values())))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from footfall.model import ALL, NOT_AVAILABLE
+from footfall.functions.events import literal, one_of
+from footfall.model import NOT_AVAILABLE
 
 
 @dataclass(frozen=True)
@@ -25,15 +26,18 @@ class Field:
     label: str | None = ""
     excluded: tuple[str, ...] = ()
 
-    def encoded(self) -> Column:
-        raw = F.col(self.source or self.name)
-        return F.when(raw.isin(*self.unknown), NOT_AVAILABLE).otherwise(raw) if self.unknown else raw
+    def encoded(self) -> str:
+        raw = self.source or self.name
+        if not self.unknown:
+            return raw
+        return f"CASE WHEN {one_of(raw, self.unknown)} THEN {literal(NOT_AVAILABLE)} ELSE {raw} END"
 
-    def labelled(self, blank: str = "") -> Column:
-        """The reading of a value that was not rolled up."""
-        value = F.col(self.name)
-        shown = value if self.label is None else F.when(value == NOT_AVAILABLE, self.label).otherwise(value)
-        return F.when(value == "", blank).otherwise(shown) if blank else shown
+    def labelled(self, blank: str = "") -> str:
+        """The reading of a value that was not rolled up; `blank` is that of an empty one."""
+        cases = f"WHEN {self.name} = '' THEN {literal(blank)} " if blank else ""
+        if self.label is not None:
+            cases += f"WHEN {self.name} = {literal(NOT_AVAILABLE)} THEN {literal(self.label)} "
+        return f"CASE {cases}ELSE {self.name} END" if cases else self.name
 
 
 @dataclass(frozen=True)
@@ -51,18 +55,15 @@ def axis(*fields: Field) -> Axis:
     return Axis(fields)
 
 
-def encode(rows: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
+def encode(rows: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """Replace raw dimension values by their grouping values, ahead of any grouping.
 
     Spark resolves a grouping column to the input column, never to an alias of the same select
     list, so folding has to be a projection of its own.
     """
-    encoded = rows.withColumns({field.name: field.encoded() for field in fields})
-    for field in fields:
-        if field.excluded:
-            encoded = encoded.filter(~F.col(field.name).isin(*field.excluded))
-    return encoded
-
-
-def rolled_up_or(field: Field, rolled_up: Column) -> Column:
-    return F.when(rolled_up, ALL).otherwise(field.labelled())
+    changed = {field.name: field.encoded() for field in fields if field.encoded() != field.name}
+    if changed:
+        kept = [name for name in rows.columns if name not in changed]
+        rows = rows.selectExpr(*kept, *(f"{value} AS {name}" for name, value in changed.items()))
+    dropped = [f"NOT {one_of(field.name, field.excluded)}" for field in fields if field.excluded]
+    return rows.filter(" AND ".join(dropped)) if dropped else rows

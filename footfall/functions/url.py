@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Scheme, and host (with a dot, without user info and port), of a page address.
 SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*)://"
 HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]*\.[^/?#:@]+)"
 
 
-def uri_host(url: Column) -> Column:
-    """`scheme://host` of an address that starts with http, else ''.
+def uri_host(url: str) -> str:
+    """SQL for `scheme://host` of an address that starts with http, else ''.
 
     Pattern matching rather than `parse_url`: addresses come from browsers as they are, and a
     blank or an unescaped character in the query must not lose the host.
     """
-    site = F.concat(F.regexp_extract(url, SCHEME, 1), F.lit("://"), F.regexp_extract(url, HOST, 1))
-    return F.when(url.startswith("http"), site).otherwise("")
+    site = f"concat(regexp_extract({url}, r'{SCHEME}', 1), '://', regexp_extract({url}, r'{HOST}', 1))"
+    return f"CASE WHEN startswith({url}, 'http') THEN {site} ELSE '' END"

@@ -4,14 +4,16 @@ A plain CUBE with distinct counts copies each event 2^n times per distinct colum
 copies. Here everything becomes *cells*: rows of dimension values with measures that add up.
 
 * Rows are merged at full dimension level first, on the map side.
-* A visitor (or address) that has one dimension tuple on a day adds 1 to every grouping set of it.
-  It therefore stays one `open` cell, merged with all others of that tuple before any copying.
-* Only entities with several tuples are copied per grouping set. They already lie together,
-  partitioned by day and entity, so the copies are made unique where they are, not shuffled.
-* Open cells are copied last, when there is one per dimension tuple.
-
-`rolled` holds one bit per axis: 1 = rolled up. It, not a null or an empty text, tells the total
-from a raw value.
+* A visitor (or address) is looked at with all its dimension tuples of the day. An axis on which
+  they agree cannot merge any of them when it is rolled up: the count is the same kept or rolled
+  up. It stays `open`, and only the axes on which they differ are rolled up here. Most visitors
+  differ on none or one, so they give one or two cells instead of 2^n.
+* These copies are made unique where they are: a visitor's tuples already lie together,
+  partitioned by day and entity, so nothing multiplied is shuffled.
+* Cells are added up over entities, and only then copied for their open axes.
+
+`rolled` has one bit per axis, 1 = rolled up. It, not a null or an empty text, tells the total
+from a raw value. `open` has one bit per axis still to be both kept and rolled up.
 """
 
 from __future__ import annotations
@@ -19,15 +21,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.fields import Axis, Field, rolled_up_or
+from footfall.functions.events import literal
+from footfall.functions.fields import Axis, Field
+from footfall.model import ALL
 
 ROLLED = "rolled"
 OPEN = "open"
 
 
+def _subsets(axes: int) -> str:
+    """SQL array: for each set of axes, as bits, the array of its subsets."""
+    sets = range(1 << axes)
+    return "array(" + ", ".join(f"array({', '.join(str(m) for m in sets if m & s == m)})" for s in sets) + ")"
+
+
 @dataclass(frozen=True)
 class Cube:
     """Grouping sets: `keys` always kept, `axes` and `detail` each kept or rolled up.
@@ -56,30 +66,30 @@ class Cube:
     def bit(self, axis: Axis) -> int:
         return 1 << self.all_axes.index(axis)
 
-    def _masks(self) -> Column:
-        return F.array(*(F.lit(mask) for mask in range(1 << len(self.axes))))
+    @property
+    def _every_axis(self) -> int:
+        return (1 << len(self.axes)) - 1
+
+    def _subsets_of(self, bits: str) -> str:
+        return f"element_at({_subsets(len(self.axes))}, {bits} + 1)"
 
-    def _roll(self, rows: DataFrame, axes: Sequence[Axis], masks: Column) -> DataFrame:
-        """A copy of each row per mask, with the masked axes set to null."""
+    def _roll(
+        self, rows: DataFrame, axes: Sequence[Axis], masks: str, kept: Sequence[str], rolled: str = ROLLED
+    ) -> DataFrame:
+        """A copy of each row per mask, with the masked axes set to null; `kept` are other columns."""
         bits = {name: self.bit(axis) for axis in axes for name in axis.columns}
-        copies = rows.select("*", F.explode(masks).alias("mask"))
-        return copies.select(
-            *(
-                F.when(F.col("mask").bitwiseAND(bits[name]) == 0, F.col(name)).alias(name)
-                if name in bits
-                else F.col(name)
-                for name in rows.columns
-                if name != ROLLED
-            ),
-            F.col(ROLLED).bitwiseOR(F.col("mask")).alias(ROLLED),
+        copies = rows.selectExpr("*", f"explode({masks}) AS mask")
+        return copies.selectExpr(
+            *kept,
+            *(f"CASE WHEN mask & {bits[n]} = 0 THEN {n} END AS {n}" if n in bits else n for n in self.columns),
+            f"{rolled} | mask AS {ROLLED}",
         )
 
-    def leaves(self, rows: DataFrame) -> DataFrame:
+    def leaves(self, rows: DataFrame, kept: Sequence[str]) -> DataFrame:
         """Rows at full dimension level; with a detail axis, also their copies without it."""
-        rows = rows.withColumn(ROLLED, F.lit(0))
         if self.detail is None:
-            return rows
-        return self._roll(rows, [self.detail], F.array(F.lit(0), F.lit(self.bit(self.detail))))
+            return rows.selectExpr(*self.keys, *self.columns, *kept, f"0 AS {ROLLED}")
+        return self._roll(rows, [self.detail], f"array(0, {self.bit(self.detail)})", (*self.keys, *kept), "0")
 
     def distinct_cells(
         self,
@@ -91,37 +101,44 @@ class Cube:
     ) -> DataFrame:
         """Cells that count each entity once per group: flags by maximum, sums by sum.
 
-        `leaves` needs one row per (keys, dimension values, entity); `keys` are extra fixed keys.
+        `leaves` are rows per (keys, dimension values, entity); `keys` are extra fixed keys.
         """
         fixed = (*self.keys, *keys)
-        together = (*fixed, *(self.detail.columns if self.detail else ()), *entity)
-        tuples = F.count("*").over(Window.partitionBy(*together))
-        single = leaves.withColumn("tuples", tuples).withColumn(OPEN, F.col("tuples") == 1).drop("tuples")
-        copies = self._roll(single, self.axes, F.when(F.col(OPEN), F.array(F.lit(0))).otherwise(self._masks()))
+        together = ", ".join((*fixed, *(self.detail.columns if self.detail else ()), *entity))
+        window = f"OVER (PARTITION BY {together})"
+        agree = [
+            f"CASE WHEN min({name}) {window} = max({name}) {window} THEN {self.bit(axis)} ELSE 0 END"
+            for axis in self.axes
+            for name in axis.columns
+        ]
+        compared = leaves.selectExpr("*", f"{' + '.join(agree)} AS {OPEN}")
+        others = (*fixed, *entity, *flags, *sums, OPEN)
+        copies = self._roll(compared, self.axes, self._subsets_of(f"({self._every_axis} - {OPEN})"), others)
         return copies.groupBy(*fixed, OPEN, ROLLED, *self.columns, *entity).agg(
             *(F.max(flag).alias(flag) for flag in flags), *(F.sum(name).alias(name) for name in sums)
         )
 
-    def open_cells(self, rows: DataFrame) -> DataFrame:
+    def open_cells(self, rows: DataFrame, measures: Sequence[str]) -> DataFrame:
         """Cells of rows whose measures simply add up."""
-        return self.leaves(rows).withColumn(OPEN, F.lit(True))
+        return self.leaves(rows, measures).selectExpr("*", f"{self._every_axis} AS {OPEN}")
 
     def totals(self, cells: DataFrame, measures: Sequence[str]) -> DataFrame:
         """Add the cells up: one row per group, measures 0 where nothing was added."""
 
         def added(parts: DataFrame, *more: str) -> DataFrame:
             return parts.groupBy(*self.keys, *more, ROLLED, *self.columns).agg(
-                *(F.coalesce(F.sum(name), F.lit(0)).cast("long").alias(name) for name in measures)
+                *(F.expr(f"CAST(coalesce(sum({name}), 0) AS BIGINT) AS {name}") for name in measures)
             )
 
         merged = added(cells, OPEN)
-        masks = F.when(F.col(OPEN), self._masks()).otherwise(F.array(F.lit(0)))
-        return added(self._roll(merged.select(*self.keys, OPEN, ROLLED, *self.columns, *measures), self.axes, masks))
+        return added(self._roll(merged, self.axes, self._subsets_of(OPEN), (*self.keys, *measures)))
 
-    def labels(self) -> dict[str, Column]:
-        """Per dimension column of `totals`, its reading in the report."""
-        return {
-            field.name: rolled_up_or(field, F.col(ROLLED).bitwiseAND(self.bit(axis)) != 0)
+    def report(self, totals: DataFrame, measures: Sequence[str]) -> DataFrame:
+        """The totals with their dimension values as they read in the report."""
+        labels = (
+            f"CASE WHEN {ROLLED} & {self.bit(axis)} <> 0 THEN {literal(ALL)} ELSE {field.labelled()} END"
+            f" AS {field.name}"
             for axis in self.all_axes
             for field in axis.fields
-        }
+        )
+        return totals.selectExpr(*self.keys, *labels, *measures)

@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.events import is_new_page_view, is_page_view
-from footfall.operators.cube import Cube
+from footfall.functions.events import IS_NEW_PAGE_VIEW, IS_PAGE_VIEW
+from footfall.operators.cube import ROLLED, Cube
 
-FACT_MEASURES = ("pv", "uv", "new_uv", "ip_count")
+ENTITY = ("kind", "entity")
+
+# One event as the entities it names, each with the measures it brings.
+ADDRESS = "struct(0 AS kind, client_ip AS entity, 0 AS pv, 0 AS uv, 0 AS new_uv, 1 AS ip_count)"
+VISITOR = (
+    "struct(1 AS kind, distinct_id AS entity, 1 AS pv, 1 AS uv,"
+    f" CAST({IS_NEW_PAGE_VIEW} AS INT) AS new_uv, 0 AS ip_count)"
+)
 
 
 def fact_cells(log: DataFrame, cube: Cube) -> DataFrame:
@@ -18,32 +25,12 @@ def fact_cells(log: DataFrame, cube: Cube) -> DataFrame:
     same way through one distinct count, as rows of one kind or the other. Addresses count over
     all events, so every group of the day has `ip_count` of at least 1.
     """
-    address = F.struct(
-        F.lit(0).alias("kind"),
-        F.col("client_ip").alias("entity"),
-        F.lit(0).alias("pv"),
-        F.lit(0).alias("uv"),
-        F.lit(0).alias("new_uv"),
-        F.lit(1).alias("ip_count"),
-    )
-    visitor = F.struct(
-        F.lit(1).alias("kind"),
-        F.col("distinct_id").alias("entity"),
-        F.lit(1).alias("pv"),
-        F.lit(1).alias("uv"),
-        is_new_page_view().cast("int").alias("new_uv"),
-        F.lit(0).alias("ip_count"),
-    )
-    entities = F.when(is_page_view(), F.array(address, visitor)).otherwise(F.array(address))
-    seen = log.select(*cube.keys, *cube.columns, F.inline(entities))
+    entities = f"inline(CASE WHEN {IS_PAGE_VIEW} THEN array({ADDRESS}, {VISITOR}) ELSE array({ADDRESS}) END)"
+    seen = log.selectExpr(*cube.keys, *cube.columns, entities)
+    flags, sums = ("uv", "new_uv", "ip_count"), ("pv",)
     leaves = (
-        cube.leaves(seen)
-        .groupBy(*cube.keys, "rolled", *cube.columns, "kind", "entity")
-        .agg(
-            F.sum("pv").alias("pv"),
-            F.max("uv").alias("uv"),
-            F.max("new_uv").alias("new_uv"),
-            F.max("ip_count").alias("ip_count"),
-        )
+        cube.leaves(seen, (*ENTITY, *flags, *sums))
+        .groupBy(*cube.keys, ROLLED, *cube.columns, *ENTITY)
+        .agg(*(F.max(flag).alias(flag) for flag in flags), F.sum("pv").alias("pv"))
     )
-    return cube.distinct_cells(leaves, ("kind", "entity"), flags=("uv", "new_uv", "ip_count"), sums=("pv",))
+    return cube.distinct_cells(leaves, ENTITY, flags, sums)

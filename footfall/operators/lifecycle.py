@@ -8,15 +8,22 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.events import is_activity
+from footfall.functions.events import IS_ACTIVITY
 from footfall.model import LIFECYCLE_LOOK_BACK
 from footfall.sources.log import between_days
 
-LIFECYCLE_MEASURES = ("new_users", "continuous_active_users", "revisit_users", "silent_users", "churn_users")
+# Per visitor and report day, its stages as 0/1; whoever is in the look-back has one at least.
+STAGES = {
+    "new_users": "is_new",
+    "continuous_active_users": "today * yesterday",
+    "revisit_users": "today * (1 - yesterday)",
+    "silent_users": "(1 - today) * yesterday",
+    "churn_users": "(1 - today) * (1 - yesterday)",
+}
 
 
 def active_rows(log: DataFrame, first: date | None, last: date | None) -> DataFrame:
-    return between_days(log, first, last, LIFECYCLE_LOOK_BACK).filter(is_activity())
+    return between_days(log, first, last, LIFECYCLE_LOOK_BACK).filter(IS_ACTIVITY)
 
 
 def visitor_stages(active: DataFrame, keys: Sequence[str], first: date | None, last: Column) -> DataFrame:
@@ -27,39 +34,18 @@ def visitor_stages(active: DataFrame, keys: Sequence[str], first: date | None, l
     events still has silent and lost visitors, up to the day `last`.
     """
     days = active.groupBy("stat_date", *keys, "distinct_id").agg(
-        F.max((F.col("is_first_day") == "true").cast("int")).alias("first_day")
+        F.expr("max(CAST(is_first_day = 'true' AS INT)) AS fresh")
     )
-    copies = days.select(
-        *keys,
-        "distinct_id",
-        "first_day",
-        F.posexplode(
-            F.transform(
-                F.sequence(F.lit(0), F.lit(LIFECYCLE_LOOK_BACK)), lambda ago: F.date_add(F.col("stat_date"), ago)
-            )
-        ).alias("ago", "stat_date"),
-    ).filter(F.col("stat_date") <= last)
-
-    def active_ago(days_ago: int) -> Column:
-        return F.max((F.col("ago") == days_ago).cast("int"))
-
+    copies = days.selectExpr(
+        *keys, "distinct_id", "fresh", "stat_date AS active_date", f"explode(sequence(0, {LIFECYCLE_LOOK_BACK})) AS ago"
+    ).selectExpr(*keys, "distinct_id", "fresh", "ago", "date_add(active_date, ago) AS stat_date")
     merged = (
-        between_days(copies, first, None)
+        between_days(copies.filter(F.col("stat_date") <= last), first, None)
         .groupBy("stat_date", *keys, "distinct_id")
         .agg(
-            active_ago(0).alias("today"),
-            active_ago(1).alias("yesterday"),
-            F.max(F.when(F.col("ago") == 0, F.col("first_day")).otherwise(0)).alias("new_users"),
+            F.expr("max(CAST(ago = 0 AS INT)) AS today"),
+            F.expr("max(CAST(ago = 1 AS INT)) AS yesterday"),
+            F.expr("max(CASE WHEN ago = 0 THEN fresh ELSE 0 END) AS is_new"),
         )
     )
-    today, yesterday = F.col("today"), F.col("yesterday")
-    return merged.select(
-        "stat_date",
-        *keys,
-        "distinct_id",
-        "new_users",
-        (today * yesterday).alias("continuous_active_users"),
-        (today * (1 - yesterday)).alias("revisit_users"),
-        ((1 - today) * yesterday).alias("silent_users"),
-        ((1 - today) * (1 - yesterday)).alias("churn_users"),
-    )
+    return merged.selectExpr("stat_date", *keys, "distinct_id", *(f"{rule} AS {name}" for name, rule in STAGES.items()))

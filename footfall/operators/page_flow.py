@@ -8,12 +8,17 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.events import is_page_event
+from footfall.functions.events import IS_PAGE_EVENT
 from footfall.functions.fields import Axis, encode
-from footfall.operators.visits import DAY, SESSION, visits
+from footfall.operators.visits import DAY, HAS_SESSION, SESSION, visits
 from footfall.sources.log import between_days
 
-FLOW_MEASURES = ("entry_count", "exit_count", "down_pv_count")
+# Per page event of a visit, what it counts as.
+FLOW_MEASURES = {
+    "entry_count": "log_time = started",
+    "exit_count": "log_time = ended",
+    "down_pv_count": "log_time > started AND log_time <= ended",
+}
 
 
 def page_flow(
@@ -26,21 +31,15 @@ def page_flow(
     are merged before the join, so a session of any length meets it with bounded rows per page;
     the join's output is regrouped, which leaves adaptive execution free to split a hot session.
     """
-    events = log.filter(is_page_event() & (F.col("url") != ""))
+    events = log.filter(f"{IS_PAGE_EVENT} AND url <> ''")
     spans = visits(events, keys, first, last).drop("events")
     hits = (
-        encode(between_days(events, first, last).filter(F.col(SESSION) != ""), page.fields)
+        encode(between_days(events, first, last).filter(HAS_SESSION), page.fields)
         .groupBy(SESSION, DAY, *page.columns, "log_time")
         .agg(F.count("*").alias("hits"))
     )
-    at, hit_count = F.col("log_time"), F.col("hits")
-    entered, left = F.col("started"), F.col("ended")
     return (
         spans.join(hits, [SESSION, DAY])
         .groupBy(DAY, *keys, *page.columns)
-        .agg(
-            F.sum(F.when(at == entered, hit_count)).alias("entry_count"),
-            F.sum(F.when(at == left, hit_count)).alias("exit_count"),
-            F.sum(F.when((at > entered) & (at <= left), hit_count)).alias("down_pv_count"),
-        )
+        .agg(*(F.expr(f"sum(hits) FILTER (WHERE {rule}) AS {name}") for name, rule in FLOW_MEASURES.items()))
     )

@@ -5,18 +5,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.model import VISIT_LOOK_BACK
-from footfall.sources.log import between_days
+from footfall.sources.log import between_days, day
 
 SESSION = "event_session_id"
 DAY = "stat_date"
+HAS_SESSION = f"{SESSION} <> ''"
+SECONDS = "timestampdiff(SECOND, started, ended)"
 
-
-def seconds_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("SECOND", start, end)
+# Per visit, the numbers that add up over visits; a bounce is a visit of a single event.
+VISIT_MEASURES = {
+    "visit_count": "1",
+    "visit_time": SECONDS,
+    "bounce": "CAST(events = 1 AS INT)",
+}
 
 
 def visits(
@@ -33,42 +38,34 @@ def visits(
     reduce to session days, then keep a day with no earlier one, or none in the look-back. That
     reads the log once, where going day by day reads each row eight times.
     """
-    rows = between_days(log, first, last, look_back).filter(F.col(SESSION) != "")
-    spans = (
-        F.min("log_time").alias("started"),
-        F.max("log_time").alias("ended"),
-        F.count("*").alias("events"),
-    )
+    rows = between_days(log, first, last, look_back).filter(HAS_SESSION)
     if first is not None and first == last:
         # One day: its visits are the groups whose first day it is, without a second shuffle.
-        groups = rows.groupBy(SESSION, *keys).agg(F.min(DAY).alias(DAY), *spans)
-        return groups.filter(F.col(DAY) == F.lit(first))
-    session_days = rows.groupBy(SESSION, *keys, DAY).agg(*spans)
+        groups = rows.groupBy(SESSION, *keys).agg(F.min(DAY).alias(DAY), *_span())
+        return groups.filter(f"{DAY} = {day(first)}")
+    session_days = rows.groupBy(SESSION, *keys, DAY).agg(*_span())
     # A window holds the days of one session: partial aggregation has already merged its events.
-    earlier = F.lag(DAY).over(Window.partitionBy(SESSION, *keys).orderBy(DAY))
-    began = earlier.isNull() | (F.date_diff(F.col(DAY), earlier) > look_back)
-    first_days = session_days.withColumn("began", began).filter("began").drop("began")
-    return between_days(first_days, first, last)
+    window = f"PARTITION BY {', '.join((SESSION, *keys))} ORDER BY {DAY}"
+    dated = session_days.selectExpr("*", f"lag({DAY}) OVER ({window}) AS earlier")
+    began = dated.filter(f"earlier IS NULL OR date_diff({DAY}, earlier) > {look_back}").drop("earlier")
+    return between_days(began, first, last)
 
 
 def hourly_visits(
     log: DataFrame, keys: Sequence[str], first: date | None = None, last: date | None = None
 ) -> DataFrame:
     """Visits within an hour of a day: a session counts in every hour in which it has events."""
-    rows = between_days(log, first, last).filter(F.col(SESSION) != "")
-    return rows.groupBy(SESSION, *keys, "stat_hour", DAY).agg(
+    rows = between_days(log, first, last).filter(HAS_SESSION)
+    return rows.groupBy(SESSION, *keys, "stat_hour", DAY).agg(*_span())
+
+
+def _span():
+    return (
         F.min("log_time").alias("started"),
         F.max("log_time").alias("ended"),
         F.count("*").alias("events"),
     )
 
 
-def visit_measures(found: DataFrame) -> DataFrame:
-    """Per visit, the numbers that add up over visits: count, seconds, bounce (a single event)."""
-    return found.withColumns(
-        {
-            "visit_count": F.lit(1),
-            "visit_time": seconds_between(F.col("started"), F.col("ended")),
-            "bounce": (F.col("events") == 1).cast("int"),
-        }
-    )
+def visit_measures(found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return found.selectExpr(*keys, *(f"{value} AS {name}" for name, value in VISIT_MEASURES.items()))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from footfall.functions.buckets import PAGE_VIEWS, VISIT_SECONDS, VISITS
 from footfall.functions.fields import axis
-from footfall.operators.lifecycle import LIFECYCLE_MEASURES
+from footfall.operators.lifecycle import STAGES
 from footfall.plans.dimensions import (
     COUNTRY,
     FIRST_DAY,
@@ -98,7 +98,7 @@ REPORTS: dict[str, Report] = {
     "user_visit_bydate": Report(VISIT_HISTOGRAM, (*STD, *VISITS)),
     "user_visittime_bydate": Report(VISIT_TIME_HISTOGRAM, (*STD, *VISIT_SECONDS)),
     "visitor_life_bydate": Report(
-        lifecycle, ("stat_date", "lib", "project_name", "country", "province", *LIFECYCLE_MEASURES)
+        lifecycle, ("stat_date", "lib", "project_name", "country", "province", *STAGES)
     ),
     "visitor_summary_byvisitor": Report(by_visitor, (*STD, "distinct_id", *WITH_NEW, "latest_time")),
     "visitor_detail_byinfo": Report(

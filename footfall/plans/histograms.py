@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.buckets import PAGE_VIEWS, VISIT_SECONDS, VISITS, bucket_of
-from footfall.functions.events import is_page_view
+from footfall.functions.events import IS_PAGE_VIEW
 from footfall.functions.fields import Axis, Field, axis, encode
 from footfall.operators.cube import Cube
-from footfall.operators.lifecycle import LIFECYCLE_MEASURES, active_rows, visitor_stages
-from footfall.operators.visits import visit_measures, visits
+from footfall.operators.lifecycle import STAGES, active_rows, visitor_stages
+from footfall.operators.visits import VISIT_MEASURES, visits
 from footfall.plans.dimensions import COUNTRY, PROVINCE, STANDARD
-from footfall.sources.log import between_days
+from footfall.sources.log import between_days, day
 
 VISITOR = "distinct_id"
 RAW_KEYS = tuple(name for one in STANDARD for name in one.columns)
@@ -23,21 +24,21 @@ RAW_KEYS = tuple(name for one in STANDARD for name in one.columns)
 
 def page_views_per_visitor(log: DataFrame, first: date | None, last: date | None) -> DataFrame:
     rows = between_days(log, first, last)
-    return rows.groupBy("stat_date", *RAW_KEYS, VISITOR).agg(F.count_if(is_page_view()).alias("value"))
+    return rows.groupBy("stat_date", *RAW_KEYS, VISITOR).agg(F.expr(f"count_if({IS_PAGE_VIEW}) AS value"))
 
 
-def _visits_per_visitor(log: DataFrame, first: date | None, last: date | None, value: Column) -> DataFrame:
-    begun = visit_measures(visits(log, (*RAW_KEYS, VISITOR), first, last))
-    return begun.groupBy("stat_date", *RAW_KEYS, VISITOR).agg(value.alias("value"))
+def _visits_per_visitor(log: DataFrame, first: date | None, last: date | None, measure: str) -> DataFrame:
+    begun = visits(log, (*RAW_KEYS, VISITOR), first, last)
+    return begun.groupBy("stat_date", *RAW_KEYS, VISITOR).agg(F.expr(f"sum({VISIT_MEASURES[measure]}) AS value"))
 
 
 def visits_per_visitor(log: DataFrame, first: date | None, last: date | None) -> DataFrame:
     """Visits have the session in their key, so counting them counts distinct sessions."""
-    return _visits_per_visitor(log, first, last, F.sum("visit_count"))
+    return _visits_per_visitor(log, first, last, "visit_count")
 
 
 def visit_seconds_per_visitor(log: DataFrame, first: date | None, last: date | None) -> DataFrame:
-    return _visits_per_visitor(log, first, last, F.sum("visit_time"))
+    return _visits_per_visitor(log, first, last, "visit_time")
 
 
 @dataclass(frozen=True)
@@ -48,24 +49,20 @@ class Histogram:
     several tuples may stand in several ranges of a total.
     """
 
-    values: object
+    values: Callable[[DataFrame, date | None, date | None], DataFrame]
     buckets: tuple[tuple[str, int], ...]
     axes: tuple[Axis, ...] = STANDARD
 
     def __call__(self, log: DataFrame, first: date | None = None, last: date | None = None) -> DataFrame:
         cube = Cube(("stat_date",), self.axes)
         ranges = dict(self.buckets)
-        visitors = encode(self.values(log, first, last), cube.fields).select(
-            *cube.keys,
-            *cube.columns,
-            VISITOR,
-            bucket_of(F.col("value"), ranges).alias("bucket"),
-            F.lit(1).alias("visitors"),
+        visitors = encode(self.values(log, first, last), cube.fields).selectExpr(
+            *cube.keys, *cube.columns, VISITOR, f"{bucket_of('value', ranges)} AS bucket", "1 AS visitors"
         )
-        cells = cube.distinct_cells(cube.leaves(visitors), (VISITOR,), flags=("visitors",), keys=("bucket",))
-        wide = cells.withColumns({name: F.when(F.col("bucket") == name, F.col("visitors")) for name in ranges})
-        totals = cube.totals(wide, tuple(ranges))
-        return totals.select(*cube.keys, *(c.alias(n) for n, c in cube.labels().items()), *ranges)
+        leaves = cube.leaves(visitors, (VISITOR, "bucket", "visitors"))
+        cells = cube.distinct_cells(leaves, (VISITOR,), flags=("visitors",), keys=("bucket",))
+        wide = cells.selectExpr("*", *(f"CASE WHEN bucket = '{name}' THEN visitors END AS {name}" for name in ranges))
+        return cube.report(cube.totals(wide, tuple(ranges)), tuple(ranges))
 
 
 PAGE_VIEW_HISTOGRAM = Histogram(page_views_per_visitor, tuple(PAGE_VIEWS.items()))
@@ -83,8 +80,7 @@ LIFECYCLE_AXES = (
 def lifecycle(log: DataFrame, first: date | None = None, last: date | None = None) -> DataFrame:
     """Distinct visitors per lifecycle stage; without `last`, days end with the log's last one."""
     cube = Cube(("stat_date",), LIFECYCLE_AXES)
-    end = F.lit(last) if last is not None else log.agg(F.max("stat_date")).scalar()
+    end = F.expr(day(last)) if last is not None else log.selectExpr("max(stat_date)").scalar()
     stages = visitor_stages(encode(active_rows(log, first, last), cube.fields), cube.columns, first, end)
-    cells = cube.distinct_cells(cube.leaves(stages), (VISITOR,), flags=LIFECYCLE_MEASURES)
-    totals = cube.totals(cells, LIFECYCLE_MEASURES)
-    return totals.select(*cube.keys, *(c.alias(n) for n, c in cube.labels().items()), *LIFECYCLE_MEASURES)
+    cells = cube.distinct_cells(cube.leaves(stages, (VISITOR, *STAGES)), (VISITOR,), flags=tuple(STAGES))
+    return cube.report(cube.totals(cells, tuple(STAGES)), tuple(STAGES))

@@ -6,18 +6,16 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from footfall.functions.events import is_page_view
+from footfall.functions.events import IS_PAGE_VIEW
 from footfall.functions.fields import Axis, encode
 from footfall.functions.url import uri_host
 from footfall.operators.cube import Cube
 from footfall.operators.facts import fact_cells
 from footfall.operators.page_flow import FLOW_MEASURES, page_flow
-from footfall.operators.visits import hourly_visits, visit_measures, visits
+from footfall.operators.visits import VISIT_MEASURES, hourly_visits, visit_measures, visits
 from footfall.sources.log import between_days
 
-VISIT_MEASURES = ("visit_count", "visit_time", "bounce")
 BASIC = ("pv", "visit_count", "uv", "ip_count", "visit_time", "bounce")
 WITH_NEW = ("pv", "visit_count", "uv", "new_uv", "ip_count", "visit_time", "bounce")
 
@@ -41,32 +39,24 @@ class Traffic:
         keys = ("stat_date", "stat_hour") if self.hours else ("stat_date",)
         cube = Cube(keys, self.axes, self.detail)
         rows = encode(log, cube.fields)
-        cells = fact_cells(between_days(rows, first, last), cube)
         if self.hours == "within":
             begun = hourly_visits(rows, cube.columns, first, last)
         else:
             begun = visits(rows, (*keys[1:], *cube.columns), first, last)
-        cells = cells.unionByName(self._open(cube, visit_measures(begun), VISIT_MEASURES), allowMissingColumns=True)
+        begun = visit_measures(begun, (*cube.keys, *cube.columns))
+        cells = fact_cells(between_days(rows, first, last), cube).unionByName(
+            cube.open_cells(begun, tuple(VISIT_MEASURES)), allowMissingColumns=True
+        )
         if self.flow:
-            flow = page_flow(
-                encode(log, tuple(field for axis in self.axes for field in axis.fields)),
-                tuple(name for axis in self.axes for name in axis.columns),
-                self.detail,
-                first,
-                last,
-            )
-            cells = cells.unionByName(self._open(cube, flow, FLOW_MEASURES), allowMissingColumns=True)
-        totals = cube.totals(cells, (*{**dict.fromkeys(self.metrics), "ip_count": None},))
-        if self.flow:
-            totals = totals.filter("ip_count > 0")
-        shown = totals.select(*keys, *(c.alias(n) for n, c in cube.labels().items()), *self.metrics)
-        if self.flow:
-            shown = shown.withColumn("uri_host", uri_host(F.col("url")))
-        return shown
-
-    @staticmethod
-    def _open(cube: Cube, rows: DataFrame, measures: tuple[str, ...]) -> DataFrame:
-        return cube.open_cells(rows.select(*cube.keys, *cube.columns, *measures))
+            plain = tuple(field for axis in self.axes for field in axis.fields)
+            names = tuple(field.name for field in plain)
+            flow = page_flow(encode(log, plain), names, self.detail, first, last)
+            cells = cells.unionByName(cube.open_cells(flow, tuple(FLOW_MEASURES)), allowMissingColumns=True)
+        totals = cube.totals(cells, self.metrics)
+        if not self.flow:
+            return cube.report(totals, self.metrics)
+        shown = cube.report(totals.filter("ip_count > 0"), self.metrics)
+        return shown.selectExpr("*", f"{uri_host('url')} AS uri_host")
 
 
 @dataclass(frozen=True)
@@ -78,6 +68,5 @@ class PageViews:
     def __call__(self, log: DataFrame, first: date | None = None, last: date | None = None) -> DataFrame:
         cube = Cube(("stat_date",), self.axes)
         rows = encode(between_days(log, first, last), cube.fields)
-        views = rows.select(*cube.keys, *cube.columns, is_page_view().cast("int").alias("pv"))
-        totals = cube.totals(cube.open_cells(views), ("pv",))
-        return totals.select(*cube.keys, *(c.alias(n) for n, c in cube.labels().items()), "pv")
+        views = rows.selectExpr(*cube.keys, *cube.columns, f"CAST({IS_PAGE_VIEW} AS INT) AS pv")
+        return cube.report(cube.totals(cube.open_cells(views, ("pv",)), ("pv",)), ("pv",))

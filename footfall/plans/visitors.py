@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.events import is_new_page_view, is_page_view
+from footfall.functions.events import IS_NEW_PAGE_VIEW, IS_PAGE_VIEW, literal
 from footfall.functions.fields import Field, encode
 from footfall.model import ALL, DIRECT_ACCESS, DOMAIN_PARSE_FAILED, NOT_AVAILABLE, UNKNOWN
-from footfall.operators.visits import SESSION, seconds_between, visit_measures, visits
+from footfall.operators.visits import HAS_SESSION, SECONDS, SESSION, visit_measures, visits
 from footfall.plans.dimensions import (
     FIRST_DAY,
     LIB,
@@ -23,19 +23,20 @@ from footfall.plans.dimensions import (
 from footfall.sources.log import between_days
 
 VISITOR = "distinct_id"
+HAS_VISITOR = f"{VISITOR} <> ''"
 
 
 def _names(fields: Sequence[Field]) -> tuple[str, ...]:
     return tuple(field.name for field in fields)
 
 
-def _labelled(fields: Sequence[Field]) -> list[Column]:
+def _labelled(fields: Sequence[Field]) -> list[str]:
     # Nothing is rolled up here, and an empty value reads as the total does.
-    return [field.labelled(blank=ALL).alias(field.name) for field in fields]
+    return [f"{field.labelled(blank=ALL)} AS {field.name}" for field in fields]
 
 
-def _zero(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(0)).cast("long").alias(name)
+def _zero(name: str) -> str:
+    return f"CAST(coalesce({name}, 0) AS BIGINT) AS {name}"
 
 
 BY_VISITOR = (LIB, PROJECT, FIRST_DAY, NAMED_COUNTRY, NAMED_PROVINCE)
@@ -48,27 +49,26 @@ def by_visitor(log: DataFrame, first: date | None = None, last: date | None = No
     grouping, so neither side is joined.
     """
     keys = ("stat_date", *_names(BY_VISITOR), VISITOR)
-    rows = encode(log.filter(F.col(VISITOR) != ""), BY_VISITOR)
+    rows = encode(log.filter(HAS_VISITOR), BY_VISITOR)
     addresses = (
         between_days(rows, first, last)
         .groupBy(*keys, "client_ip")
         .agg(
-            F.count_if(is_page_view()).alias("pv"),
-            F.count_if(is_new_page_view()).alias("new_pv"),
+            F.expr(f"count_if({IS_PAGE_VIEW}) AS pv"),
+            F.expr(f"count_if({IS_NEW_PAGE_VIEW}) AS new_pv"),
             F.max("log_time").alias("latest_time"),
         )
-        .withColumn("ip_count", F.lit(1))
-        .drop("client_ip")
+        .selectExpr(*keys, "pv", "new_pv", "latest_time", "1 AS ip_count")
     )
-    begun = visit_measures(visits(rows, keys[1:], first, last)).select(*keys, "visit_count", "visit_time", "bounce")
+    begun = visit_measures(visits(rows, keys[1:], first, last), keys)
     merged = (
         addresses.unionByName(begun, allowMissingColumns=True)
         .groupBy(*keys)
         .agg(
             F.sum("pv").alias("pv"),
             F.sum("visit_count").alias("visit_count"),
-            (F.sum("pv") > 0).cast("int").alias("uv"),
-            (F.sum("new_pv") > 0).cast("int").alias("new_uv"),
+            F.expr("CAST(sum(pv) > 0 AS INT) AS uv"),
+            F.expr("CAST(sum(new_pv) > 0 AS INT) AS new_uv"),
             F.sum("ip_count").alias("ip_count"),
             F.sum("visit_time").alias("visit_time"),
             F.sum("bounce").alias("bounce"),
@@ -76,7 +76,7 @@ def by_visitor(log: DataFrame, first: date | None = None, last: date | None = No
         )
     )
     metrics = ("pv", "visit_count", "uv", "new_uv", "ip_count", "visit_time", "bounce")
-    return merged.select(
+    return merged.selectExpr(
         "stat_date", *_labelled(BY_VISITOR), VISITOR, *(_zero(name) for name in metrics), "latest_time"
     )
 
@@ -98,23 +98,23 @@ def by_info(log: DataFrame, first: date | None = None, last: date | None = None)
     Visits are not told apart by first day, so the rows of both first-day values show the same ones.
     """
     visit_keys = ("stat_date", *_names(BY_INFO_VISIT), VISITOR)
-    rows = encode(log.filter(F.col(VISITOR) != ""), BY_INFO_VISIT)
+    rows = encode(log.filter(HAS_VISITOR), BY_INFO_VISIT)
     facts = (
         between_days(rows, first, last)
         .groupBy(*visit_keys, FIRST_DAY.name)
         .agg(
             F.max("log_time").alias("latest_time"),
             F.min("log_time").alias("first_time"),
-            F.count_if(is_page_view()).alias("pv"),
+            F.expr(f"count_if({IS_PAGE_VIEW}) AS pv"),
         )
     )
     begun = (
-        visit_measures(visits(rows, visit_keys[1:], first, last))
+        visit_measures(visits(rows, visit_keys[1:], first, last), visit_keys)
         .groupBy(*visit_keys)
         .agg(F.sum("visit_time").alias("visit_time"), F.sum("visit_count").alias("visit_count"))
     )
     joined = facts.join(begun, list(visit_keys), "left")
-    return joined.select(
+    return joined.selectExpr(
         "stat_date",
         *_labelled((*BY_INFO_VISIT, FIRST_DAY)),
         VISITOR,
@@ -143,18 +143,18 @@ def by_session(log: DataFrame, first: date | None = None, last: date | None = No
     """
     place = ("project_name", "country", "province", "client_ip", VISITOR)
     view_keys = ("stat_date", *place, SESSION)
-    rows = encode(log.filter(F.col(SESSION) != ""), BY_SESSION)
+    rows = encode(log.filter(HAS_SESSION), BY_SESSION)
     begun = visits(rows, (*place, "sourcesite", "searchword"), first, last)
-    views = between_days(rows, first, last).groupBy(*view_keys).agg(F.count_if(is_page_view()).alias("pv"))
+    views = between_days(rows, first, last).groupBy(*view_keys).agg(F.expr(f"count_if({IS_PAGE_VIEW}) AS pv"))
     joined = begun.join(views, list(view_keys), "left")
-    return joined.select(
+    return joined.selectExpr(
         "stat_date",
         *_labelled(BY_SESSION),
-        F.when(F.col("client_ip") == "", NOT_AVAILABLE).otherwise(F.col("client_ip")).alias("client_ip"),
+        f"CASE WHEN client_ip = '' THEN {literal(NOT_AVAILABLE)} ELSE client_ip END AS client_ip",
         VISITOR,
         SESSION,
-        F.col("started").alias("first_time"),
-        F.col("ended").alias("latest_time"),
-        seconds_between(F.col("started"), F.col("ended")).alias("visit_time"),
+        "started AS first_time",
+        "ended AS latest_time",
+        f"{SECONDS} AS visit_time",
         _zero("pv"),
     )

@@ -9,6 +9,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Plans are long; recording the Python line of every expression costs as much as building them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Beyond 8000 bytes the JVM interprets a generated method; Spark then does better without it.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from footfall.model import LOG_SCHEMA
@@ -19,25 +18,29 @@ def event_log(table: DataFrame) -> DataFrame:
 
     `stat_date` passes through untouched, so day filters still prune partitions of the table.
     """
-    return table.select(
+    return table.selectExpr(
         *(
-            F.coalesce(F.col(field.name), F.lit("")).alias(field.name)
+            f"coalesce({field.name}, '') AS {field.name}"
             if isinstance(field.dataType, T.StringType)
-            else F.col(field.name).cast(field.dataType).alias(field.name)
+            else f"CAST({field.name} AS {field.dataType.simpleString()}) AS {field.name}"
             for field in LOG_SCHEMA
         )
     )
 
 
+def day(value: date) -> str:
+    return f"DATE'{value.isoformat()}'"
+
+
 def between_days(rows: DataFrame, first: date | None, last: date | None, look_back: int = 0) -> DataFrame:
     """Rows of the days first..last and of `look_back` days before them; None leaves an end open."""
     if first is not None:
-        rows = rows.filter(F.col("stat_date") >= F.lit(first - timedelta(days=look_back)))
+        rows = rows.filter(f"stat_date >= {day(first - timedelta(days=look_back))}")
     if last is not None:
-        rows = rows.filter(F.col("stat_date") <= F.lit(last))
+        rows = rows.filter(f"stat_date <= {day(last)}")
     return rows
 
 
 def earliest_day(log: DataFrame, floor: date = EARLIEST_DAY) -> date | None:
     """First day of the log that is not before `floor`; None if there is none."""
-    return log.filter(F.col("stat_date") >= F.lit(floor)).agg(F.min("stat_date")).first()[0]
+    return between_days(log, floor, None).selectExpr("min(stat_date)").first()[0]

@@ -12,7 +12,13 @@ BROADCAST_ROWS = 10_000
 BROADCAST_BYTES = 8 << 20
 SPREAD = 64
 
-# Runs unchanged on Spark and on DuckDB; `{joined}` is the join of events and pages.
+# Both texts run unchanged on Spark and on DuckDB; `{joined}` is the join of events and pages.
+PAGES_SQL = r"""
+SELECT page_id, url
+ , regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) AS path
+ , regexp_extract(url, '^https?://([^/?#:]+)', 1) AS host
+FROM {pages}
+"""
 LOG_SQL = r"""
 SELECT CAST(e.ts AS DATE) AS stat_date
  , lpad(CAST(hour(e.ts) AS VARCHAR(2)), 2, '0') AS stat_hour
@@ -39,16 +45,16 @@ SELECT CAST(e.ts AS DATE) AS stat_date
  , concat('10.0.', CAST(e.user_id % 16 AS VARCHAR(4)), '.', CAST(e.event_id % 3 AS VARCHAR(4))) AS client_ip
  , CASE WHEN e.event_id % 13 = 0 THEN '' WHEN e.event_id % 17 = 0 THEN 'url的domain解析失败' ELSE p.url END AS url
  , CASE WHEN e.event_id % 13 = 0 THEN ''
-        ELSE regexp_extract(p.url, '^https?://[^/?#]+([^?#]*)', 1) END AS url_path
+        ELSE p.path END AS url_path
  , CASE WHEN e.event_id % 19 = 0 THEN '' ELSE concat('title', CAST(p.page_id AS VARCHAR(10))) END AS title
  , CASE e.event_id % 7 WHEN 0 THEN '' WHEN 1 THEN 'url的domain解析失败' WHEN 2 THEN '取值异常'
-        ELSE regexp_extract(p.url, '^https?://([^/?#:]+)', 1) END AS latest_referrer_host
+        ELSE p.host END AS latest_referrer_host
  , CASE e.event_id % 9 WHEN 0 THEN '' WHEN 1 THEN '未取到值' WHEN 2 THEN '取值异常'
         WHEN 3 THEN '未取到值_直接打开' WHEN 4 THEN 'url的domain解析失败'
         ELSE concat('kw', CAST(e.event_id % 5 AS VARCHAR(3))) END AS latest_search_keyword
 FROM {joined}
 """
-DUCKDB_JOIN = "events e JOIN pages p ON p.page_id = e.event_id % 50"
+DUCKDB_JOIN = f"events e JOIN ({PAGES_SQL.replace('{pages}', 'pages')}) p ON p.page_id = e.event_id % 50"
 
 
 def sample_log(spark: SparkSession, folder: str) -> DataFrame:
@@ -58,8 +64,12 @@ def sample_log(spark: SparkSession, folder: str) -> DataFrame:
     count of rows and bytes shows them small; otherwise events are spread over copies of each page.
     """
     events = spark.read.parquet(f"{folder}/events.parquet").select("event_id", "ts", "user_id", "event_type")
-    pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url")
+    pages = spark.sql(PAGES_SQL, pages=spark.read.parquet(f"{folder}/pages.parquet"))
     pages = pages.filter((F.col("page_id") >= 0) & (F.col("page_id") < PAGES_USED))
+    cores = spark.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() < cores:
+        # One small file is one task; a log in many files is read where it lies.
+        events = events.repartition(cores)
     rows, size = pages.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("url")), F.lit(0))).first()
     if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
         join = f"{{events}} e JOIN {{pages}} p ON p.page_id = e.event_id % {PAGES_USED}"
