@@ -34,14 +34,18 @@ from footfall.plans.dimensions import (
 from footfall.plans.histograms import PAGE_VIEW_HISTOGRAM, VISIT_HISTOGRAM, VISIT_TIME_HISTOGRAM, lifecycle
 from footfall.plans.traffic import BASIC, WITH_NEW, PageViews, Traffic
 from footfall.plans.visitors import by_info, by_session, by_visitor
+from footfall.sources.log import EARLIEST_DAY, EARLIEST_PAGE_DAY
 
 Plan = Callable[[DataFrame, date | None, date | None], DataFrame]
 
 
 @dataclass(frozen=True)
 class Report:
+    """`floor` is the day before which a full refresh does not begin."""
+
     plan: Plan
     columns: tuple[str, ...]
+    floor: date = EARLIEST_DAY
 
 
 STD = ("stat_date", "lib", "project_name", "is_first_day", "country", "province")
@@ -89,6 +93,7 @@ REPORTS: dict[str, Report] = {
     "visituri_detail_bydate": Report(
         Traffic(STANDARD, PAGE, metrics=(*WITH_NEW, "entry_count", "exit_count", "down_pv_count"), flow=True),
         (*STD, *PAGE.columns, "uri_host", *WITH_NEW, "entry_count", "exit_count", "down_pv_count"),
+        floor=EARLIEST_PAGE_DAY,
     ),
     "visituri_summary_bydate": Report(
         PageViews((*LIB_PROJECT, axis(PAGE_URL), axis(PAGE_TITLE))),

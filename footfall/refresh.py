@@ -1,5 +1,87 @@
-"""placeholder"""
+"""Refresh stored reports: one day, a range of days, or the whole history.
 
-def refresh_day(): ...
-def refresh_days(): ...
-def refresh_full(): ...
+Reports are tables partitioned by `stat_date`. A refresh replaces the days it computes, so it may
+be repeated. Days that come out without rows keep what they had, except in a full refresh.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+from contextlib import contextmanager
+from datetime import date
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from footfall.plans import REPORTS, report
+from footfall.sources.log import earliest_day
+
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+def refresh_day(log: DataFrame, day: date, database: str, names: Iterable[str] = REPORTS) -> None:
+    """Recompute one day; reads it and its look-back only."""
+    refresh_days(log, day, day, database, names)
+
+
+def refresh_days(log: DataFrame, first: date, last: date, database: str, names: Iterable[str] = REPORTS) -> None:
+    """Recompute the days first..last, both included, in one pass over the log."""
+    if last < first:
+        raise ValueError(f"last day {last} lies before first day {first}")
+    _refresh(log, {name: first for name in names}, last, database, everything=False)
+
+
+def refresh_full(
+    log: DataFrame, database: str, names: Iterable[str] = REPORTS, today: date | None = None
+) -> None:
+    """Replace the whole tables by the days from the log's first one until today."""
+    last = today or date.today()
+    starts: dict[date, date] = {}
+    firsts = {}
+    for name in names:
+        floor = REPORTS[name].floor
+        if floor not in starts:
+            starts[floor] = earliest_day(log, floor) or floor
+        firsts[name] = min(starts[floor], last)
+    _refresh(log, firsts, last, database, everything=True)
+
+
+def _refresh(log: DataFrame, firsts: dict[str, date], last: date, database: str, everything: bool) -> None:
+    # Reports of equal plan and range are computed once and written to each of their tables.
+    alike: dict[tuple, list[str]] = {}
+    for name, first in firsts.items():
+        alike.setdefault((id(REPORTS[name].plan), first), []).append(name)
+    for (_, first), names in alike.items():
+        rows = report(names[0], log, first, last)
+        if len(names) > 1:
+            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        for name in names:
+            store(rows, f"{database}.{name}", everything)
+        if len(names) > 1:
+            rows.unpersist()
+
+
+def store(rows: DataFrame, table: str, everything: bool = False) -> None:
+    """Write report rows into `table`, replacing their days, or all of it.
+
+    The rebalancing hint brings the rows of a day together and lets adaptive execution split a
+    large day, so a refresh writes neither one file per task and day nor one huge file.
+    """
+    spark = rows.sparkSession
+    ordered = [*(name for name in rows.columns if name != "stat_date"), "update_time", "stat_date"]
+    timed = rows.withColumn("update_time", F.current_timestamp()).select(*ordered)
+    if not spark.catalog.tableExists(table):
+        timed.limit(0).write.format("parquet").partitionBy("stat_date").saveAsTable(table)
+    with _overwriting(spark, "static" if everything else "dynamic"):
+        timed.hint("rebalance", "stat_date").write.insertInto(table, overwrite=True)
+
+
+@contextmanager
+def _overwriting(spark: SparkSession, mode: str):
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)

@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 
 from footfall.model import LOG_SCHEMA
 
-# A full rebuild starts no earlier than this.
+# A full rebuild starts no earlier than this; that of the page report, later.
 EARLIEST_DAY = date(2023, 1, 1)
+EARLIEST_PAGE_DAY = date(2023, 10, 1)
 
 
 def event_log(table: DataFrame) -> DataFrame:
