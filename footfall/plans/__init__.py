@@ -34,7 +34,7 @@ from footfall.plans.dimensions import (
 from footfall.plans.histograms import PAGE_VIEW_HISTOGRAM, VISIT_HISTOGRAM, VISIT_TIME_HISTOGRAM, lifecycle
 from footfall.plans.traffic import BASIC, WITH_NEW, PageViews, Traffic
 from footfall.plans.visitors import by_info, by_session, by_visitor
-from footfall.sources.log import EARLIEST_DAY, EARLIEST_PAGE_DAY
+from footfall.sources.log import EARLIEST_DAY, EARLIEST_PAGE_DAY, event_log
 
 Plan = Callable[[DataFrame, date | None, date | None], DataFrame]
 
@@ -143,9 +143,9 @@ REPORTS: dict[str, Report] = {
 
 
 def report(name: str, log: DataFrame, first: date | None = None, last: date | None = None) -> DataFrame:
-    """The report `name` over an event log, for the days first..last or for all days of the log.
+    """The report `name` over a table of tracked events, for the days first..last or for all its days.
 
     A given first day also needs the days of its look-back in `log`.
     """
     chosen = REPORTS[name]
-    return chosen.plan(log, first, last).select(*chosen.columns)
+    return chosen.plan(event_log(log), first, last).select(*chosen.columns)

@@ -18,7 +18,7 @@ from footfall.operators.page_flow import FLOW_MEASURES, page_flow
 from footfall.operators.visits import SECONDS, SESSION, VISIT_MEASURES, hourly_visits, visit_measures, visits
 from footfall.plans.dimensions import NAMED_COUNTRY, NAMED_PROVINCE, PAGE, REFERRER, SEARCH_WORD, STANDARD
 from footfall.plans.histograms import page_views_per_visitor, visit_seconds_per_visitor, visits_per_visitor
-from footfall.sources.log import EARLIEST_DAY, EARLIEST_PAGE_DAY, between_days
+from footfall.sources.log import EARLIEST_DAY, EARLIEST_PAGE_DAY, between_days, event_log
 
 LIB, PROJECT = STANDARD[:2]
 VISIT_KEYS = ("lib", "project_name", "is_first_day")
@@ -152,3 +152,8 @@ PARTS: dict[str, Callable[[DataFrame], DataFrame]] = {
         earliest_days,
     )
 }
+
+
+def part(name: str, log: DataFrame) -> DataFrame:
+    """The building block `name` over a table of tracked events."""
+    return PARTS[name](event_log(log))

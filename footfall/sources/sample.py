@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.sources.log import event_log
-
 PAGES_USED = 50
 BROADCAST_ROWS = 10_000
 BROADCAST_BYTES = 8 << 20
@@ -80,4 +78,4 @@ def sample_log(spark: SparkSession, folder: str) -> DataFrame:
             f"{{events}} e JOIN {{pages}} p ON p.page_id = e.event_id % {PAGES_USED}"
             f" AND p.part = (e.event_id DIV {PAGES_USED}) % {SPREAD}"
         )
-    return event_log(spark.sql(LOG_SQL.replace("{joined}", join), events=events, pages=pages))
+    return spark.sql(LOG_SQL.replace("{joined}", join), events=events, pages=pages)
