@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING"
+PAGES = "page_id BIGINT, url STRING"
 PAGES_USED = 50
 BROADCAST_ROWS = 10_000
 BROADCAST_BYTES = 8 << 20
@@ -61,11 +63,11 @@ def sample_log(spark: SparkSession, folder: str) -> DataFrame:
     Every event joins one of few pages, so each page is a hot key. The pages are broadcast when a
     count of rows and bytes shows them small; otherwise events are spread over copies of each page.
     """
-    events = spark.read.parquet(f"{folder}/events.parquet").select("event_id", "ts", "user_id", "event_type")
-    pages = spark.sql(PAGES_SQL, pages=spark.read.parquet(f"{folder}/pages.parquet"))
-    pages = pages.filter((F.col("page_id") >= 0) & (F.col("page_id") < PAGES_USED))
+    events = spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet")
+    pages = spark.sql(PAGES_SQL, pages=spark.read.schema(PAGES).parquet(f"{folder}/pages.parquet"))
+    pages = pages.filter(f"page_id >= 0 AND page_id < {PAGES_USED}")
     cores = spark.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() < cores:
+    if len(events.inputFiles()) < cores:
         # One small file is one task; a log in many files is read where it lies.
         events = events.repartition(cores)
     rows, size = pages.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("url")), F.lit(0))).first()
