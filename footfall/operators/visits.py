@@ -14,7 +14,8 @@ from footfall.sources.log import between_days, day
 SESSION = "event_session_id"
 DAY = "stat_date"
 HAS_SESSION = f"{SESSION} <> ''"
-SECONDS = "timestampdiff(SECOND, started, ended)"
+# Subtracted as they stand: a session zone with summer time must not add or lose an hour.
+SECONDS = "CAST(CAST(ended - started AS INTERVAL SECOND) AS BIGINT)"
 
 # Per visit, the numbers that add up over visits; a bounce is a visit of a single event.
 VISIT_MEASURES = {

@@ -7,29 +7,48 @@ be repeated. Days that come out without rows keep what they had, except in a ful
 from __future__ import annotations
 
 from collections.abc import Iterable
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from datetime import date
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.model import VISIT_LOOK_BACK
 from footfall.plans import REPORTS, report
-from footfall.sources.log import earliest_day
+from footfall.sources.log import between_days, earliest_day, event_log
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
-def refresh_day(log: DataFrame, day: date, database: str, names: Iterable[str] = REPORTS) -> None:
+def refresh_day(
+    log: DataFrame, day: date, database: str, names: Iterable[str] = REPORTS, keep: StorageLevel | None = None
+) -> None:
     """Recompute one day; reads it and its look-back only."""
-    refresh_days(log, day, day, database, names)
+    refresh_days(log, day, day, database, names, keep)
+
 
+def refresh_days(
+    log: DataFrame,
+    first: date,
+    last: date,
+    database: str,
+    names: Iterable[str] = REPORTS,
+    keep: StorageLevel | None = None,
+) -> None:
+    """Recompute the days first..last, both included, in one pass over the log per report.
 
-def refresh_days(log: DataFrame, first: date, last: date, database: str, names: Iterable[str] = REPORTS) -> None:
-    """Recompute the days first..last, both included, in one pass over the log."""
+    `keep` holds the log of these days and their look-back while all reports read it, where the
+    cluster has room for that; without it every report scans its own columns of the table.
+    """
     if last < first:
         raise ValueError(f"last day {last} lies before first day {first}")
-    _refresh(log, {name: first for name in names}, last, database, everything=False)
+    firsts = dict.fromkeys(names, first)
+    if keep is None:
+        _refresh(log, firsts, last, database, everything=False)
+        return
+    with _kept(between_days(event_log(log), first, last, VISIT_LOOK_BACK), keep) as days:
+        _refresh(days, firsts, last, database, everything=False)
 
 
 def refresh_full(
@@ -54,12 +73,18 @@ def _refresh(log: DataFrame, firsts: dict[str, date], last: date, database: str,
         alike.setdefault((id(REPORTS[name].plan), first), []).append(name)
     for (_, first), names in alike.items():
         rows = report(names[0], log, first, last)
-        if len(names) > 1:
-            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        for name in names:
-            store(rows, f"{database}.{name}", everything)
-        if len(names) > 1:
-            rows.unpersist()
+        with _kept(rows, StorageLevel.MEMORY_AND_DISK) if len(names) > 1 else nullcontext(rows) as result:
+            for name in names:
+                store(result, f"{database}.{name}", everything)
+
+
+@contextmanager
+def _kept(rows: DataFrame, level: StorageLevel):
+    kept = rows.persist(level)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
 
 
 def store(rows: DataFrame, table: str, everything: bool = False) -> None:

@@ -207,3 +207,13 @@ def test_visitor_reports_leave_out_empty_visitors(rows_of):
 
 def test_missing_texts_read_as_empty(rows_of):
     assert one(rows_of("area_detail_bydate", event(1, city=None), **STANDARD_TOTAL, city="未知城市")).pv == 1
+
+
+def test_visit_time_does_not_depend_on_the_session_zone(spark, rows_of):
+    events = (event(70, "01:30:00"), event(70, "03:30:07"))  # the night in which New York skips an hour
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert one(rows_of("flow_summary_bydate", *events, **TOTAL)).visit_time == 7207
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

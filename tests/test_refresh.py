@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
+from pyspark import StorageLevel
 
 from footfall import REPORTS, refresh_day, refresh_days, refresh_full, report
 from footfall.plans import STD, WITH_NEW
@@ -78,6 +79,16 @@ def test_reports_of_one_plan_are_written_to_each_table(spark, database):
     assert set(spark.table(f"{database}.{names[0]}").columns) == {*STD, *WITH_NEW, "update_time"}
 
 
+def test_keeping_the_log_gives_the_same(spark, database):
+    log = log_of(spark, *EVENTS)
+    names = ("flow_summary_bydate", "visitor_life_bydate", "flow_summary_byhour")
+    refresh_days(log, day(8), day(10), database, names, keep=StorageLevel.MEMORY_AND_DISK)
+    for name in names:
+        wanted = spark_rows(report(name, log, day(8), day(10)))
+        assert wanted
+        assert difference(spark_rows(stored(spark, database, name)), wanted) == ""
+
+
 def test_dates_are_checked(spark):
     with pytest.raises(ValueError, match="before"):
         refresh_days(log_of(spark), date(2024, 1, 2), date(2024, 1, 1), "nowhere")
