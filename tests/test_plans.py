@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from footfall import REPORTS, refresh_day, report
+from footfall import REPORTS, report
 from tests.logs import day, event, log_of
 
 
@@ -70,10 +70,10 @@ def test_single_day_visits_shuffle_once(table):
     assert "lag(" not in single
 
 
-def test_a_large_day_is_rebalanced_when_stored(spark, table):
-    spark.sql("CREATE DATABASE IF NOT EXISTS plans_of_refresh")
-    try:
-        refresh_day(table, day(12), "plans_of_refresh", ["flow_summary_bydate"])
-        assert spark.table("plans_of_refresh.flow_summary_bydate").count() == 4
-    finally:
-        spark.sql("DROP DATABASE plans_of_refresh CASCADE")
+def test_full_level_rows_are_merged_before_they_are_copied(table):
+    """Page views are summed per dimension tuple first; the copies per grouping set follow that shuffle."""
+    plan = report("area_summary_bydate", table)._jdf.queryExecution().executedPlan().toString()
+    words = [line.strip(" :+-*()0123456789").split("(")[0].split()[0] for line in plan.splitlines()[1:]]
+    shape = [word for word in words if word in ("Exchange", "Generate", "HashAggregate", "FileScan")]
+    merged, copied = ["HashAggregate", "Exchange", "HashAggregate"], ["Generate"]
+    assert shape == [*merged, *copied, *merged, "FileScan"]
