@@ -10,6 +10,8 @@ A line may differ by one edit for every CHARS_PER_EDIT characters of the shorter
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -99,12 +101,10 @@ def edit_distance(short: Column, long: Column, edits: int) -> Column:
     """
     width = 2 * edits + 1
     full = (1 << width) - 1
-    pattern = F.concat(F.array_repeat(F.lit(""), edits), F.split(short, ""), F.array_repeat(F.lit(""), 2 * edits + 1))
 
-    def mask(char: Column, at: Column) -> Column:
-        # Beyond the ends of the pattern stand empty texts, which equal no character.
-        same = [F.when(F.get(pattern, at + b) == char, 1 << b).otherwise(0) for b in range(width)]
-        return sum(same[1:], same[0])
+    def named(value: Column, use: Callable[[Column], Column]) -> Column:
+        # A lambda's argument is computed once, however often it is used.
+        return F.get(F.transform(F.array(value), lambda x: use(x)), F.lit(0))
 
     def step(state: Column, hits: Column) -> Column:
         new = [state["r0"].bitwiseAND(hits)]
@@ -114,15 +114,25 @@ def edit_distance(short: Column, long: Column, edits: int) -> Column:
             new.append(old.bitwiseAND(hits).bitwiseOR(less).bitwiseOR(moved))
         return F.struct(*(r.alias(f"r{e}") for e, r in enumerate(new)))
 
+    def masks(pattern: Column) -> Column:
+        # Beyond the ends of the pattern stand empty texts, which equal no character.
+        def mask(char: Column, at: Column) -> Column:
+            same = [F.when(F.get(pattern, at + b) == char, 1 << b).otherwise(0) for b in range(width)]
+            return sum(same[1:], same[0])
+
+        return F.transform(F.split(long, ""), mask)
+
+    def distance(ended: Column) -> Column:
+        end = F.call_function("shiftleft", F.lit(1), F.length(short) - F.length(long) + edits)
+        least = F.lit(edits + 1)
+        for e in range(edits, -1, -1):
+            least = F.when(ended[f"r{e}"].bitwiseAND(end) != 0, e).otherwise(least)
+        return least
+
     first = [sum(1 << b for b in range(edits, edits + e + 1)) & full for e in range(edits + 1)]
     start = F.struct(*(F.lit(r).alias(f"r{e}") for e, r in enumerate(first)))
-    masks = F.transform(F.split(long, ""), mask)
-    ended = F.aggregate(masks, start, step)
-    end = F.call_function("shiftleft", F.lit(1), F.length(short) - F.length(long) + edits)
-    distance = F.lit(edits + 1)
-    for e in range(edits, -1, -1):
-        distance = F.when(ended[f"r{e}"].bitwiseAND(end) != 0, e).otherwise(distance)
-    return distance
+    pattern = F.concat(F.array_repeat(F.lit(""), edits), F.split(short, ""), F.array_repeat(F.lit(""), width))
+    return named(F.aggregate(named(pattern, masks), start, step), distance)
 
 
 def near_lines(
