@@ -7,8 +7,8 @@
   shingles in which the sets differ: that bounds the overlap from above.
 * What remains is intersected exactly.
 
-Links are looked for in two rounds. First each set meets its neighbour in the tile, which ties most of a large group together with
-few pairs; then all further pairs of sets that are not yet in one component.
+Links are looked for in rounds. First each set meets a few partners in its tile, then a few more of other components, which ties
+most of a large group together with few pairs; last come all further pairs of sets that are not yet in one component.
 """
 
 from __future__ import annotations
@@ -36,6 +36,10 @@ BUCKET_BITS = 20
 SLICES = 64
 #: Tiles of at most so many sets name all their pairs at once; larger ones wait for the components of the first round.
 SMALL_TILE = 6
+#: In a round a set meets so many partners, looked for among so many neighbours; so many rounds come before the last.
+PARTNERS = 2
+REACH = 12
+ROUNDS = 3
 #: Up to so many candidates (8 bytes each) are broadcast to the texts; beyond, texts and candidates are shuffled.
 BROADCAST_CANDIDATES = 500_000
 
@@ -205,8 +209,23 @@ def _fits(n_a: np.ndarray, at_a: np.ndarray, n_b: np.ndarray, at_b: np.ndarray,
     return band & (np.minimum(n_a - at_a, n_b - at_b) >= least_overlap(n_a + n_b, percent))
 
 
+def _partners(columns: list[np.ndarray], percent: int) -> np.ndarray:
+    """Pairs of each set with the next PARTNERS sets of its tile that are in another component, at most REACH places on."""
+    token, node, n, place, part = columns
+    taken = np.zeros(len(token), np.int64)
+    found = [np.empty((0, 2), np.int64)]
+    for step in range(1, min(REACH + 1, len(token))):
+        left = np.flatnonzero((token[:-step] == token[step:]) & (part[:-step] != part[step:]) & (taken[:-step] < PARTNERS))
+        right = left + step
+        fine = _fits(n[left], place[left], n[right], place[right], percent)
+        left, right = left[fine], right[fine]
+        taken[left] += 1
+        found.append(np.stack([np.minimum(node[left], node[right]), np.maximum(node[left], node[right])], axis=1))
+    return np.unique(np.concatenate(found), axis=0)
+
+
 def _first_round(percent: int):
-    """From tiles: kind 0 neighbours, kind 1 other pairs of small tiles, kind 2 members of larger ones (token, node, n, place)."""
+    """From tiles: kind 0 partners, kind 1 all pairs of small tiles, kind 2 members of larger ones (token, node, n, place)."""
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["kind", "token", "a", "b", "n", "place"]
@@ -215,29 +234,41 @@ def _first_round(percent: int):
             kinds = np.full(len(a), kind, np.int32)
             return pa.RecordBatch.from_arrays([pa.array(c) for c in (kinds, token, a, b, n, place)], names=names)
 
+        def pairs(kind: int, rows: np.ndarray) -> pa.RecordBatch:
+            none = np.zeros(len(rows), np.int32)
+            return out(kind, np.zeros(len(rows), np.int64), rows[:, 0], rows[:, 1], none, none)
+
         for token, node, n, place in _runs(batches):
             starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
             sizes = np.diff(np.concatenate([starts, [len(token)]]))
-            size_of = np.repeat(sizes, sizes)
-            for step in range(1, SMALL_TILE):
-                left = np.flatnonzero((token[:-step] == token[step:]) & ((size_of[:-step] <= SMALL_TILE) if step > 1 else True))
+            large = np.repeat(sizes > SMALL_TILE, sizes)
+            yield pairs(0, _partners([token, node, n, place, node], percent))
+            small = [c[~large] for c in (token, node, n, place)]
+            for step in range(1, min(SMALL_TILE, len(small[0]))):
+                left = np.flatnonzero(small[0][:-step] == small[0][step:])
                 right = left + step
-                fine = _fits(n[left], place[left], n[right], place[right], percent) & (node[left] != node[right])
-                left, right = left[fine], right[fine]
-                if len(left):
-                    a, b = np.minimum(node[left], node[right]), np.maximum(node[left], node[right])
-                    pairs = np.unique(np.stack([a, b], axis=1), axis=0)
-                    none = np.zeros(len(pairs), np.int32)
-                    yield out(int(step > 1), np.zeros(len(pairs), np.int64), pairs[:, 0], pairs[:, 1], none, none)
-            large = size_of > SMALL_TILE
+                fine = _fits(small[2][left], small[3][left], small[2][right], small[3][right], percent)
+                a, b = small[1][left[fine]], small[1][right[fine]]
+                rows = np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
+                yield pairs(1, np.unique(rows[a != b], axis=0))
             if large.any():
                 yield out(2, token[large], node[large], node[large], n[large], place[large])
 
     return named
 
 
-def _second_round(percent: int):
-    """Pairs (a, b) of the larger tiles that are not in one component."""
+def _next_round(percent: int):
+    """Partners (a, b) in the larger tiles."""
+
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in _runs(batches):
+            yield _pairs([_partners(columns, percent)])
+
+    return paired
+
+
+def _last_round(percent: int):
+    """All pairs (a, b) of the larger tiles that are not in one component."""
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for token, node, n, place, part in _runs(batches):
@@ -346,34 +377,30 @@ def jaccard_components(
         .sortWithinPartitions("token", "n", "node")
     )
     named = stored(tiles.mapInArrow(_first_round(percent), "kind int, token long, a long, b long, n int, place int"))
-    first = _links(named.filter("kind = 0").select("a", "b").distinct(), classes, texts, words, percent)
-    parts = stored(components(first))
-
-    def part_of(node: str, name: str) -> DataFrame:
-        return parts.select(F.col("node").alias(node), F.col("component").alias(name))
-
-    small = named.filter("kind = 1").select("a", "b").distinct()
-    small = (
-        small.join(part_of("a", "pa"), "a", "left")
-        .join(part_of("b", "pb"), "b", "left")
-        .filter("coalesce(pa, a) <> coalesce(pb, b)")
-        .select("a", "b")
-    )
-    large = (
-        named.filter("kind = 2")
-        .select("token", F.col("a").alias("node"), "n", "place")
-        .join(part_of("node", "part"), "node", "left")
-        .select("token", "node", "n", "place", F.coalesce("part", "node").alias("part"))
-        .repartition("token")
-        .sortWithinPartitions("token", "n", "node")
-        .mapInArrow(_second_round(percent), "a long, b long")
-    )
-    second = _links(stored(small.unionByName(large).distinct()), classes, texts, words, percent)
-    whole = components(first.unionByName(second))
-    members = classes.select("digest", "node").join(whole, "node", "left")
-    members = members.select("digest", F.coalesce("component", "node").alias("reached"))
+    links = _links(named.filter("kind = 0").select("a", "b").distinct(), classes, texts, words, percent)
+    members = named.filter("kind = 2").select("token", F.col("a").alias("node"), "n", "place")
+    for number in range(1, ROUNDS + 1):
+        parts = stored(components(links))
+        tiled = (
+            members.join(parts.withColumnRenamed("component", "part"), "node", "left")
+            .select("token", "node", "n", "place", F.coalesce("part", "node").alias("part"))
+            .repartition("token")
+            .sortWithinPartitions("token", "n", "node")
+        )
+        if number < ROUNDS:
+            more = tiled.mapInArrow(_next_round(percent), "a long, b long")
+        else:
+            a = parts.select(F.col("node").alias("a"), F.col("component").alias("pa"))
+            b = parts.select(F.col("node").alias("b"), F.col("component").alias("pb"))
+            small = named.filter("kind = 1").select("a", "b").distinct().join(a, "a", "left").join(b, "b", "left")
+            small = small.filter("coalesce(pa, a) <> coalesce(pb, b)").select("a", "b")
+            more = tiled.mapInArrow(_last_round(percent), "a long, b long").unionByName(small)
+        links = links.unionByName(_links(stored(more.distinct()), classes, texts, words, percent))
+    whole = components(links)
+    reached = classes.select("digest", "node").join(whole, "node", "left")
+    reached = reached.select("digest", F.coalesce("component", "node").alias("reached"))
     plain = features.select("doc_id", F.col("n").alias("n_shingles"), "digest")
-    return plain.join(members, "digest", "left").select(
+    return plain.join(reached, "digest", "left").select(
         "doc_id",
         "n_shingles",
         F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("reached", "doc_id")).alias("component_id"),
