@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm.byte_bpe import round_trip_digests
@@ -21,11 +21,14 @@ from footfall.llm.token_rollups import Rollup, deletes, inserts, revisions, toke
 from footfall.llm.vector_search import exact_top_k
 from footfall.llm.warc import archived
 
-#: The bucket of documents that nothing is learned from.
-HELD_OUT = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
 TOKENIZER_VERSION = "byte_bpe_50k"
 
 
+def held_out() -> Column:
+    """The bucket of documents that nothing is learned from."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -60,8 +63,8 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = predicted(_table(spark, sf_dir, "documents"), training=~HELD_OUT)
-    return rows.select("doc_id", HELD_OUT.alias("held_out"), "lang_pred", "score")
+    rows = predicted(_table(spark, sf_dir, "documents"), training=~held_out())
+    return rows.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

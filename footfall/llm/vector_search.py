@@ -92,7 +92,7 @@ def cell_marks(classes: DataFrame) -> dict[int, np.ndarray]:
     sample = (
         classes.select("dims", "v", F.row_number().over(order).alias("n")).filter(f"n <= {MARKS_SAMPLE}").toPandas()
     )
-    marks = {}
+    marks = {0: np.zeros((0, CELLS + 1), np.int64)}
     for dims, group in bounds.groupby("dims"):
         group = group.sort_values("d")
         drawn = sample[sample["dims"] == dims]
@@ -139,7 +139,7 @@ def scan(marks: dict[int, np.ndarray], k: int):
         out = {"q": [], "c": [], "upper": [], "lower": []}
         if len(queries) and len(data):
             dims = int(queries["dims"].iloc[0])
-            packed = np.frombuffer(b"".join(data["cells"]), np.uint8).reshape(len(data), -1)
+            packed = np.frombuffer(b"".join(data["cells"]), np.uint8).reshape(len(data), dims)
             low, high = cell_ends(packed, marks[dims])
             wanted = np.frombuffer(b"".join(queries["v"]), "<i4").reshape(len(queries), dims).astype(np.int64)
             ids, names = data["class_id"].to_numpy(), queries["q"].to_numpy()
@@ -169,7 +169,7 @@ def exact_scores(pairs: DataFrame, queries: DataFrame, classes: DataFrame) -> Da
             lengths = np.array([len(x) for x in left], np.int64)
             for length in np.unique(lengths):
                 at = np.flatnonzero(lengths == length)
-                a, b = (np.frombuffer(b"".join(side[i] for i in at), "<i4").reshape(len(at), -1) for side in (left, right))
+                a, b = (np.frombuffer(b"".join(side[i] for i in at), "<i4").reshape(len(at), length // 4) for side in (left, right))
                 scores[at] = np.einsum("ij,ij->i", a.astype(np.int64), b.astype(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores)], names=["q", "c", "score"])
 
