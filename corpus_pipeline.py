@@ -15,7 +15,7 @@ from footfall.llm.exact_dedup import exact_duplicates
 from footfall.llm.jaccard_join import jaccard_components
 from footfall.llm.language_id import UNDETERMINED, predicted
 from footfall.llm.packing import packed_documents
-from footfall.llm.queries import HELD_OUT
+from footfall.llm.queries import held_out
 
 #: The rows of run() need a trained network and a tokenizer.
 ORACLE_SQL = None
@@ -28,7 +28,7 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told go on; texts that are null or hold no letter go."""
-    found = predicted(docs, training=~HELD_OUT)
+    found = predicted(docs, training=~held_out())
     return _without(docs, found.filter(F.col("lang_pred") == UNDETERMINED))
 
 
