@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-# Scheme, and host (with a dot, without user info and port), of a page address.
+# Scheme, and host (with a dot, without user info and port), of a page address; the host may stand without a scheme.
 SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*)://"
-HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]*\.[^/?#:@]+)"
+HOST = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*://)?(?:[^/?#@]*@)?([^/?#:@]*\.[^/?#:@]+)"
 
 
 def uri_host(url: str) -> str:

@@ -28,8 +28,8 @@ def page_flow(
 
     The visit's span is taken per session and keys, the page events are matched by session alone:
     a session under two key tuples reports its pages under both. Events of one page in one second
-    are merged before the join, so a session of any length meets it with bounded rows per page;
-    the join's output is regrouped, which leaves adaptive execution free to split a hot session.
+    are merged before the join, and a span meets only the page events within it: outside of it every
+    measure is 0. The join's output is regrouped, which leaves adaptive execution free to split a hot session.
     """
     events = log.filter(f"{IS_PAGE_EVENT} AND url <> ''")
     spans = visits(events, keys, first, last).drop("events")
@@ -38,8 +38,10 @@ def page_flow(
         .groupBy(SESSION, DAY, *page.columns, "log_time")
         .agg(F.count("*").alias("hits"))
     )
+    hits = hits.withColumnsRenamed({SESSION: "hit_session", DAY: "hit_day"})
+    within = f"hit_session = {SESSION} AND hit_day = {DAY} AND log_time BETWEEN started AND ended"
     return (
-        spans.join(hits, [SESSION, DAY])
+        spans.join(hits, F.expr(within))
         .groupBy(DAY, *keys, *page.columns)
         .agg(*(F.expr(f"sum(hits) FILTER (WHERE {rule}) AS {name}") for name, rule in FLOW_MEASURES.items()))
     )

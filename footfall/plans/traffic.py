@@ -53,6 +53,9 @@ class Traffic:
             flow = page_flow(encode(log, plain), names, self.detail, first, last)
             cells = cells.unionByName(cube.open_cells(flow, tuple(FLOW_MEASURES)), allowMissingColumns=True)
         totals = cube.totals(cells, self.metrics)
+        if self.hours:
+            # Rows without an hour are no rows of an hourly report.
+            totals = totals.filter("stat_hour <> ''")
         if not self.flow:
             return cube.report(totals, self.metrics)
         shown = cube.report(totals.filter("ip_count > 0"), self.metrics)

@@ -1,14 +1,16 @@
 """Refresh stored reports: one day, a range of days, or the whole history.
 
 Reports are tables partitioned by `stat_date`. A refresh replaces the days it computes, so it may
-be repeated. Days that come out without rows keep what they had, except in a full refresh.
+be repeated. Old rows stay readable until the new ones stand; then the days of the range that came out
+without rows are dropped, and in a full refresh all other days. A refresh that fails leaves the old rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from contextlib import contextmanager, nullcontext
-from datetime import date
+from datetime import date, datetime, timezone
+from threading import Lock
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -16,16 +18,16 @@ from pyspark.sql import functions as F
 
 from footfall.model import VISIT_LOOK_BACK
 from footfall.plans import REPORTS, report
-from footfall.sources.log import between_days, earliest_day, event_log
+from footfall.sources.log import between_days, day, earliest_day, event_log
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def refresh_day(
-    log: DataFrame, day: date, database: str, names: Iterable[str] = REPORTS, keep: StorageLevel | None = None
+    log: DataFrame, only: date, database: str, names: Iterable[str] = REPORTS, keep: StorageLevel | None = None
 ) -> None:
     """Recompute one day; reads it and its look-back only."""
-    refresh_days(log, day, day, database, names, keep)
+    refresh_days(log, only, only, database, names, keep)
 
 
 def refresh_days(
@@ -52,17 +54,24 @@ def refresh_days(
 
 
 def refresh_full(
-    log: DataFrame, database: str, names: Iterable[str] = REPORTS, today: date | None = None
+    log: DataFrame,
+    database: str,
+    names: Iterable[str] = REPORTS,
+    today: date | None = None,
+    floor: date | None = None,
 ) -> None:
-    """Replace the whole tables by the days from the log's first one until today."""
+    """Replace the whole tables by the days from the log's first one until today.
+
+    Days before `floor` are left out; by default each report has its own (`EARLIEST_DAY`, `EARLIEST_PAGE_DAY`).
+    """
     last = today or date.today()
     starts: dict[date, date] = {}
     firsts = {}
     for name in names:
-        floor = REPORTS[name].floor
-        if floor not in starts:
-            starts[floor] = earliest_day(log, floor) or floor
-        firsts[name] = min(starts[floor], last)
+        lowest = floor or REPORTS[name].floor
+        if lowest not in starts:
+            starts[lowest] = earliest_day(log, lowest) or lowest
+        firsts[name] = min(starts[lowest], last)
     _refresh(log, firsts, last, database, everything=True)
 
 
@@ -75,7 +84,7 @@ def _refresh(log: DataFrame, firsts: dict[str, date], last: date, database: str,
         rows = report(names[0], log, first, last)
         with _kept(rows, StorageLevel.MEMORY_AND_DISK) if len(names) > 1 else nullcontext(rows) as result:
             for name in names:
-                store(result, f"{database}.{name}", everything)
+                store(result, f"{database}.{name}", None if everything else first, None if everything else last)
 
 
 @contextmanager
@@ -87,26 +96,36 @@ def _kept(rows: DataFrame, level: StorageLevel):
         kept.unpersist()
 
 
-def store(rows: DataFrame, table: str, everything: bool = False) -> None:
-    """Write report rows into `table`, replacing their days, or all of it.
+def store(rows: DataFrame, table: str, first: date | None = None, last: date | None = None) -> None:
+    """Write report rows into `table`, replacing the days first..last; None leaves an end open.
 
     The rebalancing hint brings the rows of a day together and lets adaptive execution split a
     large day, so a refresh writes neither one file per task and day nor one huge file.
     """
     spark = rows.sparkSession
+    started = datetime.now(timezone.utc)
     ordered = [*(name for name in rows.columns if name != "stat_date"), "update_time", "stat_date"]
-    timed = rows.withColumn("update_time", F.current_timestamp()).select(*ordered)
+    timed = rows.withColumn("update_time", F.lit(started)).select(*ordered)
     if not spark.catalog.tableExists(table):
         timed.limit(0).write.format("parquet").partitionBy("stat_date").saveAsTable(table)
-    with _overwriting(spark, "static" if everything else "dynamic"):
+    with _dynamic_overwrite(spark):
         timed.hint("rebalance", "stat_date").write.insertInto(table, overwrite=True)
+    # What this refresh did not write came out empty. There are no more such rows than days.
+    old = between_days(spark.table(table), first, last).filter(F.col("update_time") != F.lit(started))
+    for row in old.select("stat_date").distinct().collect():
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (stat_date = {day(row.stat_date)})")
+
+
+#: The overwrite mode belongs to the session: refreshes in several threads take turns in changing it.
+_WRITING = Lock()
 
 
 @contextmanager
-def _overwriting(spark: SparkSession, mode: str):
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, mode)
-    try:
-        yield
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
+def _dynamic_overwrite(spark: SparkSession):
+    with _WRITING:
+        before = spark.conf.get(OVERWRITE_MODE)
+        spark.conf.set(OVERWRITE_MODE, "dynamic")
+        try:
+            yield
+        finally:
+            spark.conf.set(OVERWRITE_MODE, before)

@@ -1,17 +1,11 @@
-"""An event log derived from the tables `events` and `pages`, for tests and the bench."""
+"""An event log derived from all rows of the tables `events` and `pages`, for tests and the bench."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING"
 PAGES = "page_id BIGINT, url STRING"
-PAGES_USED = 50
-BROADCAST_ROWS = 10_000
-BROADCAST_BYTES = 8 << 20
-SPREAD = 64
-
 # Both texts run unchanged on Spark and on DuckDB; `{joined}` is the join of events and pages.
 PAGES_SQL = r"""
 SELECT page_id, url
@@ -54,30 +48,17 @@ SELECT CAST(e.ts AS DATE) AS stat_date
         ELSE concat('kw', CAST(e.event_id % 5 AS VARCHAR(3))) END AS latest_search_keyword
 FROM {joined}
 """
-DUCKDB_JOIN = f"events e JOIN ({PAGES_SQL.replace('{pages}', 'pages')}) p ON p.page_id = e.event_id % 50"
+# Every event has the page of its number, counted round over all pages; an event whose page is missing stays.
+JOIN_SQL = (
+    "(SELECT *, event_id % (SELECT count(*) FROM {pages}) AS page_no FROM {events}) e"
+    " LEFT JOIN {paged} p ON p.page_id = e.page_no"
+)
+DUCKDB_JOIN = JOIN_SQL.format(events="events", pages="pages", paged=f"({PAGES_SQL.replace('{pages}', 'pages')})")
 
 
 def sample_log(spark: SparkSession, folder: str) -> DataFrame:
-    """The event log over all rows of `events`.
-
-    Every event joins one of few pages, so each page is a hot key. The pages are broadcast when a
-    count of rows and bytes shows them small; otherwise events are spread over copies of each page.
-    """
+    """The event log over all rows of `events` and `pages`. How the two are joined is left to adaptive execution."""
     events = spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet")
-    pages = spark.sql(PAGES_SQL, pages=spark.read.schema(PAGES).parquet(f"{folder}/pages.parquet"))
-    pages = pages.filter(f"page_id >= 0 AND page_id < {PAGES_USED}")
-    cores = spark.sparkContext.defaultParallelism
-    if len(events.inputFiles()) < cores:
-        # One small file is one task; a log in many files is read where it lies.
-        events = events.repartition(cores)
-    rows, size = pages.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("url")), F.lit(0))).first()
-    if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
-        join = f"{{events}} e JOIN {{pages}} p ON p.page_id = e.event_id % {PAGES_USED}"
-        pages = F.broadcast(pages)
-    else:
-        pages = pages.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-        join = (
-            f"{{events}} e JOIN {{pages}} p ON p.page_id = e.event_id % {PAGES_USED}"
-            f" AND p.part = (e.event_id DIV {PAGES_USED}) % {SPREAD}"
-        )
-    return spark.sql(LOG_SQL.replace("{joined}", join), events=events, pages=pages)
+    pages = spark.read.schema(PAGES).parquet(f"{folder}/pages.parquet")
+    paged = spark.sql(PAGES_SQL, pages=pages)
+    return spark.sql(LOG_SQL.replace("{joined}", JOIN_SQL), events=events, pages=pages, paged=paged)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracle.reports import (
+    URL_SITE,
     ACTIVE,
     DAYS,
     LIB,
@@ -30,10 +31,7 @@ SPAN = (
     f"{moment('started', 'started')}, {moment('ended', 'ended')},"
     " CAST(events AS BIGINT) AS events, CAST(seconds AS BIGINT) AS seconds"
 )
-URL_SITE = (
-    "CASE WHEN url LIKE 'http%' THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*)://', 1) || '://' ||"
-    " regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://(?:[^/?#@]*@)?([^/?#:@]*\\.[^/?#:@]+)', 1) ELSE '' END"
-)
+PAGE_WITH_URL = f"{PAGE_EVENT} AND url <> ''"
 
 
 def count_if(rule: str, name: str) -> str:
@@ -104,13 +102,14 @@ def part_sql() -> dict[str, str]:
             " CAST(NOT today AND NOT yesterday AS BIGINT) AS churn_users FROM a"
         ),
         "session_pages": (
-            f"WITH {LOG}, {DAYS}, {sessions(['lib'], PAGE_EVENT + chr(32) + 'AND url <> ' + chr(39) * 2, 'b', 'log')},"
+            f"WITH {LOG}, {DAYS}, {sessions(['lib'], PAGE_WITH_URL, 'b', 'log')},"
             f" {encoded((PAGE,))} SELECT CAST(b.stat_date AS VARCHAR) AS stat_date, b.lib, h.page.url AS url,"
             " h.page.url_path AS url_path, h.page.title AS title,"
             f" {count_if('h.log_time = b.started', 'entry_count')}, {count_if('h.log_time = b.ended', 'exit_count')},"
             f" {count_if('h.log_time > b.started AND h.log_time <= b.ended', 'down_pv_count')}"
             " FROM b JOIN enc h ON h.stat_date = b.stat_date AND h.event_session_id = b.event_session_id"
-            f" WHERE h.{PAGE_EVENT} AND h.url <> '' GROUP BY b.stat_date, b.lib, h.page"
+            f" WHERE h.{PAGE_EVENT} AND h.url <> '' AND h.log_time BETWEEN b.started AND b.ended"
+            " GROUP BY b.stat_date, b.lib, h.page"
         ),
         "page_hosts": f"WITH {LOG} SELECT url, {URL_SITE} AS uri_host, count(*) AS events FROM log GROUP BY url",
         "report_days": (

@@ -64,6 +64,15 @@ PAGE = Dim(
 )
 
 LOG = "log AS (" + LOG_SQL.replace("{joined}", DUCKDB_JOIN) + ")"
+
+# Cut step by step: what stands before the path, without user info and port, if it holds a dot.
+_AUTHORITY = "regexp_extract(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://', ''), '^[^/?#]*')"
+_HOST = f"split_part(split_part({_AUTHORITY}, '@', -1), ':', 1)"
+URL_SITE = (
+    "CASE WHEN NOT starts_with(url, 'http') THEN '' ELSE"
+    " concat(CASE WHEN regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://') THEN split_part(url, ':', 1) ELSE '' END,"
+    f" '://', CASE WHEN {_HOST} LIKE '%._%' THEN {_HOST} ELSE '' END) END"
+)
 DAYS = "days AS (SELECT DISTINCT stat_date AS d FROM log)"
 
 
@@ -184,11 +193,7 @@ def page_views(dims: Sequence[Dim], where: str = "true") -> str:
 def page_report() -> str:
     dims = (*STD, PAGE)
     base = listing(STD)
-    hosts = (
-        "CASE WHEN url LIKE 'http%' THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*)://', 1) || '://' ||"
-        " regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://(?:[^/?#@]*@)?([^/?#:@]*\\.[^/?#:@]+)', 1)"
-        " ELSE '' END AS uri_host"
-    )
+    hosts = f"{URL_SITE} AS uri_host"
     events = f"{PAGE_EVENT} AND url <> ''"
     flow = (
         f"e AS (SELECT b.stat_date, {listing(STD, 'b.')}, h.page,"

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from footfall.functions.url import uri_host
 from footfall import report
 from tests.logs import day, event, log_of
 
@@ -217,3 +220,22 @@ def test_visit_time_does_not_depend_on_the_session_zone(spark, rows_of):
         assert one(rows_of("flow_summary_bydate", *events, **TOTAL)).visit_time == 7207
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_host_with_and_without_scheme(spark):
+    addresses = {
+        "http://a.b/c": "http://a.b",
+        "https://u:p@h.de:80/q?x": "https://h.de",
+        "httpbin.org/x": "://httpbin.org",
+        "http://localhost/x.y": "http://",
+        "ftp://a.b": "",
+        "": "",
+    }
+    rows = spark.createDataFrame([(url,) for url in addresses], "url string").selectExpr("url", f"{uri_host('url')} AS host")
+    assert dict(rows.collect()) == addresses
+
+
+def test_rows_without_an_hour_are_no_rows_of_hourly_reports(spark):
+    log = log_of(spark, event(1)).withColumn("stat_hour", F.lit(""))
+    assert report("flow_summary_byhour", log).count() == 0
+    assert report("flow_trend_byhour", log).count() == 0

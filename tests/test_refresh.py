@@ -6,6 +6,7 @@ from datetime import date
 
 import pytest
 from pyspark import StorageLevel
+from pyspark.sql import functions as F
 
 from footfall import REPORTS, refresh_day, refresh_days, refresh_full, report
 from footfall.plans import STD, WITH_NEW
@@ -70,6 +71,23 @@ def test_full_refresh_replaces_everything_from_the_floor_on(spark, database):
     assert stored(spark, database, name).count() == 0
 
 
+def test_a_failing_full_refresh_keeps_the_old_rows(spark, database):
+    name = "flow_summary_bydate"
+    refresh_full(log_of(spark, event(1), event(2)), database, [name], today=day(4))
+    before = spark_rows(stored(spark, database, name))
+    broken = log_of(spark, event(1), event(3)).withColumn("client_ip", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        refresh_full(broken, database, [name], today=day(4))
+    assert spark_rows(stored(spark, database, name)) == before
+
+
+def test_a_day_that_comes_out_empty_is_removed(spark, database):
+    name = "flow_summary_bydate"
+    refresh_days(log_of(spark, event(1), event(2), event(3)), day(1), day(3), database, [name])
+    refresh_day(log_of(spark, event(1), event(3)), day(2), database, [name])
+    assert {row.stat_date for row in stored(spark, database, name).collect()} == {day(1), day(3)}
+
+
 def test_reports_of_one_plan_are_written_to_each_table(spark, database):
     names = ("flow_trend_bydate", "visitor_detail_bydate", "channel_detail_bydate")
     refresh_day(log_of(spark, event(1)), day(1), database, names)
