@@ -2,8 +2,10 @@
 
 A line is cut into one segment more than the edits allowed, so that one segment of the shorter of two near lines stands
 unchanged in the longer one, not far from its place. Segments are indexed by the line's length, their number and their text; every line
-probes the lengths it can match with the few substrings that can be such a segment. Pairs that meet are verified by a banded
-bit-parallel edit distance.
+probes the lengths it can match with the few substrings that can be such a segment. Lines that meet no other line there are done.
+The others get a signature, the parity of their characters and of their pairs of neighbouring characters on a few bits: an edit
+turns few of these bits, so that the join of segments leaves out pairs with too many different ones. That matters where many
+versions of one line share segments. Pairs that are left are verified by a banded bit-parallel edit distance.
 
 A line may differ by one edit for every CHARS_PER_EDIT characters of the shorter line, and by no more than `edits`.
 """
@@ -22,6 +24,8 @@ EDITS = 2
 CHARS_PER_EDIT = 16
 #: Before an exact look, a line is cut into so many parts; each edit can spoil one of them.
 PARTS = 12
+#: Words of 64 bits in the signature of neighbouring characters; a power of two.
+SIGNATURE_WORDS = 4
 #: Up to so many candidate lines (8 bytes each) are broadcast to the lines; beyond, both are shuffled.
 BROADCAST_CANDIDATES = 500_000
 
@@ -39,46 +43,96 @@ def segment(length: Column, count: Column, number: Column) -> tuple[Column, Colu
     return start, base + F.when(number > short, 1).otherwise(0)
 
 
-def lookups(edits: int) -> list[tuple[int, int, int, int, int]]:
-    """(probe, allowed, longer, number, shift): the segments a line gives to the index (probe 0) and the substrings it probes
-    with (probe 1), for each number of edits allowed to the indexed line.
+def lookups(edits: int) -> list[tuple[int, int, int, int]]:
+    """(allowed, longer, number, shift): the substrings a line probes with, for each number of edits allowed to the indexed line.
 
     `longer` is by how much the probing line is longer. A segment with number i has i - 1 segments before it: were more than i - 1
-    edits there, a segment further left or right would match as well. That bounds the shift from both sides.
+    edits there, a segment further left or right would match as well. That bounds the shift from both sides. With neither
+    difference nor shift the substring is the line's own segment, which stands in the index.
     """
     rows = []
     for allow in range(1, edits + 1):
-        rows += [(0, allow, 0, i, 0) for i in range(1, allow + 2)]
         for longer in range(allow + 1):
             for i in range(1, allow + 2):
                 behind = allow + 1 - i
                 shifts = range(max(1 - i, longer - behind), min(i - 1, longer + behind) + 1)
-                rows += [(1, allow, longer, i, shift) for shift in shifts]
+                rows += [(allow, longer, i, shift) for shift in shifts]
     return rows
 
 
 def keyed(lines: DataFrame, edits: int) -> DataFrame:
-    """(key, h, probe) of every line (h, line, size) long enough for an edit."""
-    table = ", ".join(f"struct({p} AS probe, {a} AS allow, {d} AS longer, {i} AS number, {s} AS shift)" for p, a, d, i, s in lookups(edits))
+    """(key, h, own) of every line (h, line, size) long enough for an edit; own keys stand in the index."""
+    table = ", ".join(f"struct({a} AS allow, {d} AS longer, {i} AS number, {s} AS shift)" for a, d, i, s in lookups(edits))
     each = lines.select("h", "line", "size", F.inline(F.expr(f"array({table})")))
     indexed = F.col("size") - F.col("longer")
     each = each.filter(F.col("allow") == allowed(indexed, edits))
     start, length = segment(indexed, F.col("allow") + 1, F.col("number"))
     text = F.substring(F.col("line"), start + F.col("shift"), length)
-    return each.select(F.xxhash64(indexed, F.col("number"), text).alias("key"), "h", "probe")
+    own = (F.col("longer") == 0) & (F.col("shift") == 0)
+    return each.select(F.xxhash64(indexed, F.col("number"), text).alias("key"), "h", own.alias("own"))
 
 
-def candidates(lines: DataFrame, edits: int) -> DataFrame:
-    """Pairs (a, b) of different lines, by hash, that share a segment where two near lines may."""
+def met(lines: DataFrame, edits: int) -> DataFrame:
+    """The keys (key, h, own) under which a line in the index meets another line."""
     keys = keyed(lines, edits)
-    index = keys.filter("probe = 0").select("key", F.col("h").alias("x"))
-    probes = keys.filter("probe = 1").select("key", F.col("h").alias("y"))
-    return (
-        index.join(probes, "key")
-        .filter("x <> y")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
+    index = keys.filter("own").select("key", F.col("h").alias("x"))
+    probes = keys.select("key", F.col("h").alias("y"))
+    differ = (F.col("i.key") == F.col("p.key")) & (F.col("x") != F.col("y"))
+    found = index.alias("i").join(probes.alias("p"), differ, "left_semi").select("key", F.col("x").alias("h"), F.lit(True).alias("own"))
+    probing = probes.alias("p").join(index.alias("i"), differ, "left_semi").select("key", F.col("y").alias("h"), F.lit(False).alias("own"))
+    return found.unionByName(probing)
+
+
+def signature(line: Column) -> Column:
+    """Parities of a line: of its characters on 64 bits (s0), of its neighbouring characters on SIGNATURE_WORDS times 64 (s1, ...).
+
+    An edit takes one character and puts one in its place at most, and so for two pairs of neighbours: it turns up to two bits of
+    s0 and up to four of the others.
+    """
+
+    def parity(hashes: Column, word: int) -> Column:
+        def turn(state: Column, value: Column) -> Column:
+            turned = state.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), value.bitwiseAND(F.lit(63))))
+            here = F.shiftright(value, 6).bitwiseAND(F.lit(SIGNATURE_WORDS - 1)) == word
+            return F.when(here, turned).otherwise(state)
+
+        return F.aggregate(hashes, F.lit(0).cast("long"), turn)
+
+    chars = F.split(line, "")
+    double = F.zip_with(chars, F.slice(chars, 2, F.greatest(F.size(chars), F.lit(1))), lambda c, d: F.hash(c, d))
+    single = F.transform(chars, lambda c: F.hash(c).bitwiseAND(F.lit(63)))
+    words = [parity(double, word).alias(f"s{word + 1}") for word in range(SIGNATURE_WORDS)]
+    return F.struct(parity(single, 0).alias("s0"), *words)
+
+
+def likely(left: Column, right: Column, size: Column, edits: int) -> Column:
+    """Whether two signatures differ in no more bits than the edits allowed can turn."""
+    allow = allowed(size, edits)
+    turned = [F.bit_count(left[f"s{i}"].bitwiseXOR(right[f"s{i}"])) for i in range(SIGNATURE_WORDS + 1)]
+    return (turned[0] <= 2 * allow) & (sum(turned[2:], turned[1]) <= 4 * allow)
+
+
+def candidates(lines: DataFrame, edits: int) -> DataFrame:
+    """Pairs (a, b) of different lines, by hash, that share a segment where two near lines may and have like signatures."""
+    keys = stored(met(lines, edits))
+    signed = stored(few(lines, keys.select("h").distinct()).select("h", "size", signature(F.col("line")).alias("s")))
+    known = keys.join(signed, "h")
+    index = known.filter("own").select("key", F.col("h").alias("x"), F.col("size").alias("nx"), F.col("s").alias("sx"))
+    probes = known.filter("NOT own").select("key", F.col("h").alias("y"), F.col("size").alias("ny"), F.col("s").alias("sy"))
+    # A line probes for shorter ones or equally long ones.
+    close = likely(F.col("sx"), F.col("sy"), F.col("nx"), edits)
+    pairs = index.withColumnRenamed("key", "index_key").join(
+        probes, (F.col("index_key") == F.col("key")) & (F.col("x") != F.col("y")) & (F.col("nx") <= F.col("ny")) & close
     )
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def few(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The lines whose hash is in `wanted`, which is broadcast only if it was counted to be small."""
+    wanted = stored(wanted)
+    if wanted.count() <= BROADCAST_CANDIDATES:
+        wanted = F.broadcast(wanted)
+    return lines.join(wanted, "h", "left_semi")
 
 
 def parts_agree(short: Column, long: Column, edits: int) -> Column:
@@ -155,11 +209,8 @@ def near_lines(
         compression="zstd",
     )
     pairs = stored(candidates(lines.select("h", "line", "size"), edits))
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct())
-    if wanted.count() <= BROADCAST_CANDIDATES:
-        wanted = F.broadcast(wanted)
     line_id = F.sha2("line", 256)
-    texts = stored(lines.join(wanted, "h", "left_semi").select("h", "line", "size"))
+    texts = stored(few(lines, pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()).select("h", "line", "size"))
     left = texts.select(F.col("h").alias("a"), F.col("line").alias("la"), F.col("size").alias("sa"))
     right = texts.select(F.col("h").alias("b"), F.col("line").alias("lb"), F.col("size").alias("sb"))
     ordered = pairs.join(left, "a").join(right, "b").select(
@@ -167,8 +218,8 @@ def near_lines(
         F.when(F.col("sa") <= F.col("sb"), F.col("lb")).otherwise(F.col("la")).alias("long"),
     )
     ordered = ordered.filter(F.length("long") - F.length("short") <= allowed(F.length("short"), edits))
-    likely = ordered.filter(parts_agree(F.col("short"), F.col("long"), edits))
-    near = likely.filter(edit_distance(F.col("short"), F.col("long"), edits) <= allowed(F.length("short"), edits))
+    agreeing = ordered.filter(parts_agree(F.col("short"), F.col("long"), edits))
+    near = agreeing.filter(edit_distance(F.col("short"), F.col("long"), edits) <= allowed(F.length("short"), edits))
     links = stored(near.select(F.sha2("short", 256).alias("a"), F.sha2("long", 256).alias("b")))
     degrees = links.select(F.explode(F.array("a", "b")).alias("line_id")).groupBy("line_id").agg(F.count("*").alias("links"))
     groups = components(links).withColumnRenamed("node", "line_id")
