@@ -7,8 +7,9 @@
   shingles in which the sets differ: that bounds the overlap from above.
 * What remains is intersected exactly.
 
-Links are looked for in rounds. First each set meets a few partners in its tile, then a few more of other components, which ties
-most of a large group together with few pairs; last come all further pairs of sets that are not yet in one component.
+Tiles of a few sets name all their pairs. Larger ones, dealt into blocks, name first a spanning forest of the pairs that differ in
+the fewest bits, which ties most of a large group together with fewer pairs than it has sets. Then tiles that are not in one
+component compare what is in different ones, block by block, and name every pair that the bitmaps allow.
 """
 
 from __future__ import annotations
@@ -34,12 +35,12 @@ PERCENT = 80
 #: Shingles are counted in so many buckets, a table of fixed size.
 BUCKET_BITS = 20
 SLICES = 64
-#: Tiles of at most so many sets name all their pairs at once; larger ones wait for the components of the first round.
+#: Tiles of at most so many sets name all their pairs; larger ones compare bitmaps first.
 SMALL_TILE = 6
-#: In a round a set meets so many partners, looked for among so many neighbours; so many rounds come before the last.
-PARTNERS = 2
-REACH = 12
-ROUNDS = 3
+#: Larger tiles are dealt into blocks of about so many sets.
+SIDE = 1024
+#: Bitmaps that go along into tiles are folded to so many bits at most; the whole ones are compared afterwards.
+TILE_BITS = 1024
 #: Up to so many candidates (8 bytes each) are broadcast to the texts; beyond, texts and candidates are shuffled.
 BROADCAST_CANDIDATES = 500_000
 
@@ -185,16 +186,15 @@ def _tile_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "node", "n", "place"])
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Columns of whole tiles: batches cut where the first column changes."""
+def _runs(batches: Iterator[pa.RecordBatch], keys: int = 1) -> Iterator[list[np.ndarray]]:
+    """Columns of whole tiles or blocks: batches cut where one of the first `keys` columns changes."""
     held: list[np.ndarray] | None = None
     for batch in batches:
         columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         if not len(columns[0]):
             continue
         held = columns if held is None else [np.concatenate(pair) for pair in zip(held, columns, strict=True)]
-        token = held[0]
-        cut = int(np.searchsorted(token, token[-1]))
+        cut = list(_spans(*held[:keys]))[-1][0]
         if cut:
             yield [c[:cut] for c in held]
             held = [c[cut:] for c in held]
@@ -202,6 +202,15 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield held
 
 
+def _spans(*keys: np.ndarray) -> Iterator[tuple[int, int]]:
+    """First row and end of each run of equal keys."""
+    change = np.zeros(len(keys[0]) - 1, bool)
+    for key in keys:
+        change |= key[1:] != key[:-1]
+    cuts = np.concatenate([[0], np.flatnonzero(change) + 1, [len(keys[0])]])
+    yield from zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+
+
 def _fits(n_a: np.ndarray, at_a: np.ndarray, n_b: np.ndarray, at_b: np.ndarray, percent: int) -> np.ndarray:
     """Whether sizes are in one band and the shingles from the shared one on are enough."""
     n_a, n_b = n_a.astype(np.int64), n_b.astype(np.int64)
@@ -209,83 +218,119 @@ def _fits(n_a: np.ndarray, at_a: np.ndarray, n_b: np.ndarray, at_b: np.ndarray,
     return band & (np.minimum(n_a - at_a, n_b - at_b) >= least_overlap(n_a + n_b, percent))
 
 
-def _partners(columns: list[np.ndarray], percent: int) -> np.ndarray:
-    """Pairs of each set with the next PARTNERS sets of its tile that are in another component, at most REACH places on."""
-    token, node, n, place, part = columns
-    taken = np.zeros(len(token), np.int64)
-    found = [np.empty((0, 2), np.int64)]
-    for step in range(1, min(REACH + 1, len(token))):
-        left = np.flatnonzero((token[:-step] == token[step:]) & (part[:-step] != part[step:]) & (taken[:-step] < PARTNERS))
-        right = left + step
-        fine = _fits(n[left], place[left], n[right], place[right], percent)
-        left, right = left[fine], right[fine]
-        taken[left] += 1
-        found.append(np.stack([np.minimum(node[left], node[right]), np.maximum(node[left], node[right])], axis=1))
-    return np.unique(np.concatenate(found), axis=0)
-
-
-def _first_round(percent: int):
-    """From tiles: kind 0 partners, kind 1 all pairs of small tiles, kind 2 members of larger ones (token, node, n, place)."""
-
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "token", "a", "b", "n", "place"]
-
-        def out(kind: int, token: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
-            kinds = np.full(len(a), kind, np.int32)
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in (kinds, token, a, b, n, place)], names=names)
-
-        def pairs(kind: int, rows: np.ndarray) -> pa.RecordBatch:
-            none = np.zeros(len(rows), np.int32)
-            return out(kind, np.zeros(len(rows), np.int64), rows[:, 0], rows[:, 1], none, none)
+class _Tile:
+    """Sets that share a shingle, ordered by size, with their bitmaps as words of 64 bits."""
+
+    def __init__(self, node: np.ndarray, n: np.ndarray, place: np.ndarray, bits: np.ndarray, percent: int):
+        self.node, self.n, self.place, self.percent = node, n.astype(np.int64), place.astype(np.int64), percent
+        self.width = np.fromiter(map(len, bits), np.int64, len(bits))
+        # Wider bitmaps belong to larger sets, so each width is a run of rows. `folded` has for a width all rows that are as wide or wider.
+        self.starts = {int(w): int(np.searchsorted(self.width, w)) for w in np.unique(self.width)}
+        self.folded: dict[int, np.ndarray] = {}
+        wider = None
+        for w, start in reversed(self.starts.items()):
+            stop = int(np.searchsorted(self.width, w, side="right"))
+            own = np.frombuffer(b"".join(bits[start:stop]), np.uint64).reshape(stop - start, w // 8)
+            if wider is not None:
+                while wider.shape[1] > w // 8:
+                    half = wider.shape[1] // 2
+                    wider = wider[:, :half] ^ wider[:, half:]
+                own = np.concatenate([own, wider])
+            self.folded[w] = wider = own
+
+    def near(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each set may be similar enough to set i, by size, place and bits; and the share of bits that differ."""
+        differ = np.empty(len(self.n), np.int64)
+        widths = [w for w in self.starts if w <= self.width[i]]
+        for w, following in zip(widths, [*widths[1:], None], strict=True):
+            start = self.starts[w]
+            stop = len(self.n) if following is None else self.starts[following]
+            rows = self.folded[w]
+            differ[start:stop] = np.bitwise_count(rows[: stop - start] ^ rows[i - start]).sum(axis=1, dtype=np.int64)
+        sizes = self.n + self.n[i]
+        fine = _fits(self.n[i], self.place[i], self.n, self.place, self.percent)
+        fine &= (sizes - differ) // 2 >= least_overlap(sizes, self.percent)
+        return fine, differ / sizes
+
+    def forest(self) -> list[tuple[int, int]]:
+        """Pairs that tie together what may be similar: a spanning forest of the least differing ones, fewer than the sets."""
+        outside = np.ones(len(self.n), bool)
+        best, via = np.full(len(self.n), np.inf), np.zeros(len(self.n), np.int64)
+        found = []
+        i = 0
+        for _ in range(len(self.n) - 1):
+            outside[i] = False
+            best[i] = np.inf
+            fine, differ = self.near(i)
+            closer = np.flatnonzero(outside & fine & (differ < best))
+            best[closer], via[closer] = differ[closer], i
+            i = int(np.argmin(best))
+            if np.isinf(best[i]):
+                i = int(np.argmax(outside))
+            else:
+                found.append((self.node[via[i]], self.node[i]))
+        return found
+
+    def across(self, part: np.ndarray, side: np.ndarray | None) -> Iterator[np.ndarray]:
+        """All pairs that may be similar and are in different components; given sides, only pairs from both sides."""
+        names, sizes = np.unique(part, return_counts=True)
+        largest = part == names[np.argmax(sizes)]
+        for i in np.flatnonzero(~largest):
+            wanted = (part != part[i]) & (largest | (np.arange(len(part)) > i))
+            if side is not None:
+                wanted &= side != side[i]
+            fine, _ = self.near(i)
+            j = np.flatnonzero(fine & wanted)
+            if len(j):
+                yield np.stack([np.full(len(j), self.node[i]), self.node[j]], axis=1)
+
+
+def _small_tiles(percent: int):
+    """All pairs (a, b) of tiles of SMALL_TILE sets at most, by size and place."""
 
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for token, node, n, place in _runs(batches):
-            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-            sizes = np.diff(np.concatenate([starts, [len(token)]]))
-            large = np.repeat(sizes > SMALL_TILE, sizes)
-            yield pairs(0, _partners([token, node, n, place, node], percent))
-            small = [c[~large] for c in (token, node, n, place)]
-            for step in range(1, min(SMALL_TILE, len(small[0]))):
-                left = np.flatnonzero(small[0][:-step] == small[0][step:])
+            found = []
+            for step in range(1, min(SMALL_TILE, len(token))):
+                left = np.flatnonzero(token[:-step] == token[step:])
                 right = left + step
-                fine = _fits(small[2][left], small[3][left], small[2][right], small[3][right], percent)
-                a, b = small[1][left[fine]], small[1][right[fine]]
-                rows = np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
-                yield pairs(1, np.unique(rows[a != b], axis=0))
-            if large.any():
-                yield out(2, token[large], node[large], node[large], n[large], place[large])
+                fine = _fits(n[left], place[left], n[right], place[right], percent)
+                found.append(np.stack([node[left[fine]], node[right[fine]]], axis=1))
+            if found:
+                yield _pairs(found)
 
-    return named
+    return paired
 
 
-def _next_round(percent: int):
-    """Partners (a, b) in the larger tiles."""
+def _tied(percent: int):
+    """Pairs (a, b) of a spanning forest of each block of the larger tiles."""
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in _runs(batches):
-            yield _pairs([_partners(columns, percent)])
+        for token, seed, block, node, n, place, bits in _runs(batches, 3):
+            found = []
+            for first, stop in _spans(token, seed, block):
+                pairs = _Tile(node[first:stop], n[first:stop], place[first:stop], bits[first:stop], percent).forest()
+                found.append(np.array(pairs, np.int64).reshape(-1, 2))
+            yield _pairs(found)
 
     return paired
 
 
-def _last_round(percent: int):
-    """All pairs (a, b) of the larger tiles that are not in one component."""
+def _open(percent: int):
+    """All pairs (a, b) of the larger tiles that are not in one component; a tile comes as pairs of blocks (one, two)."""
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, node, n, place, part in _runs(batches):
-            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
+        for token, one, two, block, node, n, place, bits, part in _runs(batches, 3):
             found: list[np.ndarray] = []
             held = 0
-            for first, stop in zip(starts[:-1], starts[1:], strict=True):
-                if (part[first:stop] == part[first]).all():
+            for first, stop in _spans(token, one, two):
+                own = slice(first, stop)
+                if (part[own] == part[first]).all():
                     continue
-                ends = first + np.searchsorted(n[first:stop], n[first:stop].astype(np.int64) * 100 // percent, side="right")
-                for i in range(first, stop):
-                    j = np.arange(i + 1, ends[i - first])
-                    j = j[part[j] != part[i]]
-                    j = j[_fits(n[i], place[i], n[j], place[j], percent)]
-                    if len(j):
-                        found.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], axis=1))
-                        held += len(j)
+                side = None if one[first] == two[first] else block[own]
+                for pairs in _Tile(node[own], n[own], place[own], bits[own], percent).across(part[own], side):
+                    found.append(pairs)
+                    held += len(pairs)
                     if held > 200_000:
                         yield _pairs(found)
                         found, held = [], 0
@@ -295,8 +340,20 @@ def _last_round(percent: int):
     return paired
 
 
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bitmaps of TILE_BITS at most, to go along into every tile."""
+    for batch in batches:
+        folded = []
+        for bits in batch.column(1).to_pylist():
+            while 8 * len(bits) > TILE_BITS:
+                words = np.frombuffer(bits, np.uint64)
+                bits = (words[: len(words) // 2] ^ words[len(words) // 2 :]).tobytes()
+            folded.append(bits)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(folded, pa.binary())], names=["node", "bits"])
+
+
 def _pairs(found: list[np.ndarray]) -> pa.RecordBatch:
-    pairs = np.unique(np.concatenate(found), axis=0)
+    pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
@@ -370,33 +427,42 @@ def jaccard_components(
         .agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
     )
     classes = stored(classes)
-    tiles = (
-        classes.select("node", "n", "prefix")
-        .mapInArrow(_tile_rows, "token long, node long, n int, place int")
-        .repartition("token")
-        .sortWithinPartitions("token", "n", "node")
+    rows = classes.select("node", "n", "prefix").mapInArrow(_tile_rows, "token long, node long, n int, place int")
+    repeated = rows.groupBy("token").agg(F.count("*").alias("sets")).filter("sets > 1")
+    tiles = stored(rows.join(repeated, "token"))
+    pair = "a long, b long"
+    small = tiles.filter(F.col("sets") <= SMALL_TILE).select("token", "node", "n", "place")
+    small = small.repartition("token").sortWithinPartitions("token", "n", "node").mapInArrow(_small_tiles(percent), pair)
+    # Larger tiles are dealt into blocks, twice where there are several, so that what one deal parts the other may tie.
+    bits = classes.select("node", "bits").mapInArrow(_folded, "node long, bits binary")
+    large = tiles.filter(F.col("sets") > SMALL_TILE).withColumn("blocks", F.ceil(F.col("sets") / SIDE).cast("int"))
+    large = stored(large.join(bits, "node"))
+    seeds = F.when(F.col("blocks") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    tied = (
+        large.withColumn("seed", F.explode(seeds))
+        .withColumn("block", F.pmod(F.xxhash64("node", "seed"), F.col("blocks")).cast("int"))
+        .select("token", "seed", "block", "node", "n", "place", "bits")
+        .repartition("token", "seed", "block")
+        .sortWithinPartitions("token", "seed", "block", "n", "node")
+        .mapInArrow(_tied(percent), pair)
+    )
+    links = _links(stored(small.unionByName(tied).distinct()), classes, texts, words, percent)
+    whole = stored(components(links))
+    parts = large.join(whole.withColumnRenamed("component", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    parts = stored(parts)
+    left_open = parts.groupBy("token").agg(F.min("part").alias("least"), F.max("part").alias("most")).filter("least <> most")
+    more = (
+        parts.join(left_open.select("token"), "token", "left_semi")
+        .withColumn("block", F.pmod(F.xxhash64("node", F.lit(0)), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("token", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", "n", "place", "bits", "part")
+        .repartition("token", "one", "two")
+        .sortWithinPartitions("token", "one", "two", "n", "node")
+        .mapInArrow(_open(percent), pair)
     )
-    named = stored(tiles.mapInArrow(_first_round(percent), "kind int, token long, a long, b long, n int, place int"))
-    links = _links(named.filter("kind = 0").select("a", "b").distinct(), classes, texts, words, percent)
-    members = named.filter("kind = 2").select("token", F.col("a").alias("node"), "n", "place")
-    for number in range(1, ROUNDS + 1):
-        parts = stored(components(links))
-        tiled = (
-            members.join(parts.withColumnRenamed("component", "part"), "node", "left")
-            .select("token", "node", "n", "place", F.coalesce("part", "node").alias("part"))
-            .repartition("token")
-            .sortWithinPartitions("token", "n", "node")
-        )
-        if number < ROUNDS:
-            more = tiled.mapInArrow(_next_round(percent), "a long, b long")
-        else:
-            a = parts.select(F.col("node").alias("a"), F.col("component").alias("pa"))
-            b = parts.select(F.col("node").alias("b"), F.col("component").alias("pb"))
-            small = named.filter("kind = 1").select("a", "b").distinct().join(a, "a", "left").join(b, "b", "left")
-            small = small.filter("coalesce(pa, a) <> coalesce(pb, b)").select("a", "b")
-            more = tiled.mapInArrow(_last_round(percent), "a long, b long").unionByName(small)
-        links = links.unionByName(_links(stored(more.distinct()), classes, texts, words, percent))
-    whole = components(links)
+    more = stored(more.distinct())
+    if not more.isEmpty():
+        whole = components(links.unionByName(_links(more, classes, texts, words, percent)))
     reached = classes.select("digest", "node").join(whole, "node", "left")
     reached = reached.select("digest", F.coalesce("component", "node").alias("reached"))
     plain = features.select("doc_id", F.col("n").alias("n_shingles"), "digest")
