@@ -146,3 +146,29 @@ def test_components_of_chains_and_stars(spark):
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {i: 100 for i in range(100, 161)} | {i: 7 for i in range(7, 40)} | {500: 500, 501: 500}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_tiles_of_several_blocks_lose_no_link(spark, monkeypatch):
+    """A base text, copies that are near it but not each other, and a chain: small blocks, every tile a large one."""
+    from footfall.llm import jaccard_join
+
+    monkeypatch.setattr(jaccard_join, "SIDE", 3)
+    monkeypatch.setattr(jaccard_join, "SMALL_TILE", 1)
+    base = [f"w{i}" for i in range(120)]
+    texts = [" ".join(base)]
+    for i in range(24):
+        changed = list(base)
+        for at in (5 * i % 110, (5 * i + 40) % 110):
+            changed[at] = f"x{i}-{at}"
+        texts.append(" ".join(changed))
+    texts += [" ".join(f"c{j}" for j in range(6 * i, 6 * i + 90)) for i in range(12)]
+    sets = [set(shingle_hashes(text).tolist()) for text in texts]
+    least = list(range(len(texts)))
+    for _ in texts:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if 100 * len(a & b) >= 80 * len(a | b):
+                    least[i] = min(least[i], least[j])
+    got = jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted((row.doc_id, row.component_id) for row in got) == list(enumerate(least))
+    assert len(set(least)) < len(texts)
