@@ -24,12 +24,14 @@ def odd():
     return duckdb_over_log(ODD_EVENTS)
 
 
+NAMES = (*REPORTS, *PARTS)
+
+
 def test_every_query_has_its_sql():
-    assert queries().keys() == oracle_sql().keys()
-    assert queries().keys() == {*REPORTS, *PARTS}
+    assert {*NAMES} <= queries().keys() & oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", NAMES)
 def test_given_tables(spark, given, name):
     rows = queries()[name](spark, FOLDER)
     columns, wanted = sql_rows(given, oracle_sql()[name])
@@ -38,7 +40,7 @@ def test_given_tables(spark, given, name):
     assert difference(spark_rows(rows), wanted) == ""
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", NAMES)
 def test_odd_values(spark, odd, name):
     log = log_of(spark, *ODD_EVENTS)
     rows = as_text(part(name, log) if name in PARTS else report(name, log))
