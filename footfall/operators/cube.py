@@ -4,12 +4,13 @@ A plain CUBE with distinct counts copies each event 2^n times per distinct colum
 copies. Here everything becomes *cells*: rows of dimension values with measures that add up.
 
 * Rows are merged at full dimension level first, on the map side.
-* A visitor (or address) is looked at with all its dimension tuples of the day. An axis on which
-  they agree cannot merge any of them when it is rolled up: the count is the same kept or rolled
-  up. It stays `open`, and only the axes on which they differ are rolled up here. Most visitors
-  differ on none or one, so they give one or two cells instead of 2^n.
-* These copies are made unique where they are: a visitor's tuples already lie together,
-  partitioned by day and entity, so nothing multiplied is shuffled.
+* A visitor (or address) is described by what all its dimension tuples of the day have in common. An
+  axis on which they agree cannot merge any of them when it is rolled up: the count is the same kept
+  or rolled up. It stays `open`, and only the axes on which they differ are rolled up here. Most
+  visitors differ on none or one, so they give one or two cells instead of 2^n.
+* What they have in common are minima and maxima, merged on the map side and joined back to the
+  tuples. No visitor's tuples have to meet in one task: the join may be split where one visitor has
+  very many, and the copies are merged by visitor, axes and values, spread over all of these.
 * Cells are added up over entities, and only then copied for their open axes.
 
 `rolled` has one bit per axis, 1 = rolled up. It, not a null or an empty text, tells the total
@@ -104,20 +105,38 @@ class Cube:
         `leaves` are rows per (keys, dimension values, entity); `keys` are extra fixed keys.
         """
         fixed = (*self.keys, *keys)
-        together = ", ".join((*fixed, *(self.detail.columns if self.detail else ()), *entity))
-        window = f"OVER (PARTITION BY {together})"
-        agree = [
-            f"CASE WHEN min({name}) {window} = max({name}) {window} THEN {self.bit(axis)} ELSE 0 END"
-            for axis in self.axes
-            for name in axis.columns
-        ]
-        compared = leaves.selectExpr("*", f"{' + '.join(agree)} AS {OPEN}")
+        together = (*fixed, *(self.detail.columns if self.detail else ()), *entity)
+        compared = self._with_open(leaves, together, (*flags, *sums))
         others = (*fixed, *entity, *flags, *sums, OPEN)
         copies = self._roll(compared, self.axes, self._subsets_of(f"({self._every_axis} - {OPEN})"), others)
         return copies.groupBy(*fixed, OPEN, ROLLED, *self.columns, *entity).agg(
             *(F.max(flag).alias(flag) for flag in flags), *(F.sum(name).alias(name) for name in sums)
         )
 
+    def _with_open(self, leaves: DataFrame, together: Sequence[str], measures: Sequence[str]) -> DataFrame:
+        """The leaves with the axes on which all leaves of their entity agree, as bits.
+
+        An axis of several columns agrees where all of them do. Both sides of the join read the same
+        leaves, so they are computed once; that holds only while they use the same columns, which is why the entity's
+        measures are carried along and compared (an entity has no less than one of its leaves).
+        """
+        agree = " + ".join(
+            f"CASE WHEN {' AND '.join(f'min({name}) = max({name})' for name in axis.columns)} THEN {self.bit(axis)} ELSE 0 END"
+            for axis in self.axes
+        )
+        # With a key that later groupings don't have, the tuples stay free to be dealt out anew after the join.
+        named = leaves.withColumn("entity_hash", F.xxhash64(*together))
+        described = (
+            named.groupBy("entity_hash", *together)
+            .agg(F.expr(f"{agree} AS {OPEN}"), *(F.max(name).alias(f"most_{name}") for name in measures))
+            .withColumnsRenamed({name: f"same_{name}" for name in ("entity_hash", *together)})
+        )
+        # Nulls come from rolling the detail axis up; they are one value here.
+        same = [f"{name} <=> same_{name}" for name in ("entity_hash", *together)]
+        same += [f"coalesce({name} <= most_{name}, true)" for name in measures]
+        joined = named.join(described, F.expr(" AND ".join(same)))
+        return joined.select(*leaves.columns, OPEN)
+
     def open_cells(self, rows: DataFrame, measures: Sequence[str]) -> DataFrame:
         """Cells of rows whose measures simply add up."""
         return self.leaves(rows, measures).selectExpr("*", f"{self._every_axis} AS {OPEN}")

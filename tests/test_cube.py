@@ -7,6 +7,7 @@ from itertools import product
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from footfall import report
 from footfall.functions.buckets import PAGE_VIEWS, VISIT_SECONDS, VISITS, bucket_of
@@ -50,6 +51,53 @@ def test_distinct_cube_equals_counting_every_grouping_set(spark, rows):
     assert len(found) == len(brute_force(rows))
 
 
+def test_an_axis_of_several_columns_agrees_only_where_all_of_them_do(spark):
+    """Tuples that agree in one column of a plain axis and differ in the other are one visitor when it is rolled up."""
+    rows = [(1, "x", "d1", "e1", "p", 1, 1), (1, "x", "d1", "e2", "p", 1, 1), (1, "x", "d2", "e2", "q", 1, 1), (1, "y", "d1", "e1", "q", 1, 1)]
+    table = spark.createDataFrame(rows, "day int, a string, d string, e string, who string, f int, n int")
+    cube = Cube(("day",), (axis(Field("a")), DETAIL))
+    found = cube.totals(cube.distinct_cells(cube.leaves(table, ("who", "f", "n")), ("who",), ("f",), ("n",)), ("f", "n")).collect()
+    counted = {(row["a"], row["d"], row["e"]): (row["f"], row["n"]) for row in found}
+    assert counted == {
+        ("x", "d1", "e1"): (1, 1), ("x", "d1", "e2"): (1, 1), ("x", "d2", "e2"): (1, 1), ("y", "d1", "e1"): (1, 1),
+        ("x", None, None): (2, 3), ("y", None, None): (1, 1), (None, "d1", "e1"): (2, 2), (None, "d1", "e2"): (1, 1),
+        (None, "d2", "e2"): (1, 1), (None, None, None): (2, 4),
+    }
+
+
+def test_a_visitor_with_very_many_tuples_does_not_meet_in_one_task(spark):
+    hot = spark.range(66_590).selectExpr(
+        "1 AS day", "concat('a', id % 10) AS a", "concat('b', id div 10 % 83) AS b", "concat('c', id div 830) AS c", "'everyone' AS who"
+    )
+    others = spark.range(5_000).selectExpr("1 AS day", "'a1' AS a", "'b1' AS b", "concat('c', id % 5) AS c", "concat('v', id) AS who")
+    table = hot.unionByName(others).selectExpr("*", "1 AS f", "1 AS n").repartition(8)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        cube = Cube(("day",), AXES)
+        leaves = cube.leaves(table, ("who", "f", "n")).groupBy("day", ROLLED, "a", "b", "c", "who").agg(F.max("f").alias("f"), F.sum("n").alias("n"))
+        described = cube._with_open(leaves, ("day", "who"), ("f", "n"))
+        whole = described.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max(F.xxhash64(*described.columns)))
+        tasks = [row["n"] for row in whole.collect()]
+        assert sum(tasks) == 71_590 and max(tasks) < 71_590 / 4, tasks
+        totals = cube.totals(cube.distinct_cells(leaves, ("who",), ("f",), ("n",)), ("f", "n"))
+        top = totals.filter("a IS NULL AND b IS NULL AND c IS NULL").first()
+        assert (top["f"], top["n"]) == (5_001, 71_590)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 @pytest.mark.parametrize("buckets", [PAGE_VIEWS, VISITS, VISIT_SECONDS])
 def test_buckets_begin_at_their_least_value(spark, buckets):
     values = spark.range(4000).selectExpr("id", f"{bucket_of('id', buckets)} AS bucket").collect()
