@@ -36,3 +36,7 @@ IS_ACTIVITY = (
 
 # The page flow's rule: any page event, whatever the library.
 IS_PAGE_EVENT = one_of("event", sorted(set(PAGE_VIEW_EVENTS.values())))
+
+# The same two on the columns as the table has them; a null meets neither.
+RAW_ACTIVITY = IS_ACTIVITY.replace("lib ", "raw_lib ").replace("event ", "raw_event ")
+RAW_PAGE_EVENT = IS_PAGE_EVENT.replace("event ", "raw_event ")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from footfall.functions.events import literal, one_of
 from footfall.model import NOT_AVAILABLE
+from footfall.sources.log import RAW
 
 
 @dataclass(frozen=True)
@@ -65,5 +66,10 @@ def encode(rows: DataFrame, fields: Sequence[Field]) -> DataFrame:
     if changed:
         kept = [name for name in rows.columns if name not in changed]
         rows = rows.selectExpr(*kept, *(f"{value} AS {name}" for name, value in changed.items()))
-    dropped = [f"NOT {one_of(field.name, field.excluded)}" for field in fields if field.excluded]
+    # Where '' is excluded as it stands, so is a null, and the condition can go to the scan.
+    dropped = [
+        f"NOT {one_of(f'{RAW}{field.name}' if '' in field.excluded and field.encoded() == field.name else field.name, field.excluded)}"
+        for field in fields
+        if field.excluded
+    ]
     return rows.filter(" AND ".join(dropped)) if dropped else rows

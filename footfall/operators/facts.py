@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from footfall.functions.events import IS_NEW_PAGE_VIEW, IS_PAGE_VIEW
 from footfall.operators.cube import ROLLED, Cube
+from footfall.sources.log import EVENTS
 
 ENTITY = ("kind", "entity")
 
 # One event as the entities it names, each with the measures it brings.
-ADDRESS = "struct(0 AS kind, client_ip AS entity, 0 AS pv, 0 AS uv, 0 AS new_uv, 1 AS ip_count)"
+ADDRESS = "struct(0 AS kind, client_ip AS entity, 0L AS pv, 0 AS uv, 0 AS new_uv, 1 AS ip_count)"
 VISITOR = (
-    "struct(1 AS kind, distinct_id AS entity, 1 AS pv, 1 AS uv,"
+    f"struct(1 AS kind, distinct_id AS entity, {EVENTS} AS pv, 1 AS uv,"
     f" CAST({IS_NEW_PAGE_VIEW} AS INT) AS new_uv, 0 AS ip_count)"
 )
 

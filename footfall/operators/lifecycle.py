@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.events import IS_ACTIVITY
+from footfall.functions.events import RAW_ACTIVITY
 from footfall.model import LIFECYCLE_LOOK_BACK
 from footfall.sources.log import between_days
 
@@ -23,7 +23,7 @@ STAGES = {
 
 
 def active_rows(log: DataFrame, first: date | None, last: date | None) -> DataFrame:
-    return between_days(log, first, last, LIFECYCLE_LOOK_BACK).filter(IS_ACTIVITY)
+    return between_days(log, first, last, LIFECYCLE_LOOK_BACK).filter(RAW_ACTIVITY)
 
 
 def visitor_stages(active: DataFrame, keys: Sequence[str], first: date | None, last: Column) -> DataFrame:

@@ -8,10 +8,10 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.events import IS_PAGE_EVENT
+from footfall.functions.events import RAW_PAGE_EVENT
 from footfall.functions.fields import Axis, encode
 from footfall.operators.visits import DAY, HAS_SESSION, SESSION, visits
-from footfall.sources.log import between_days
+from footfall.sources.log import EVENTS, RAW, between_days
 
 # Per page event of a visit, what it counts as.
 FLOW_MEASURES = {
@@ -31,12 +31,12 @@ def page_flow(
     are merged before the join, and a span meets only the page events within it: outside of it every
     measure is 0. The join's output is regrouped, which leaves adaptive execution free to split a hot session.
     """
-    events = log.filter(f"{IS_PAGE_EVENT} AND url <> ''")
+    events = log.filter(f"{RAW_PAGE_EVENT} AND {RAW}url <> ''")
     spans = visits(events, keys, first, last).drop("events")
     hits = (
         encode(between_days(events, first, last).filter(HAS_SESSION), page.fields)
         .groupBy(SESSION, DAY, *page.columns, "log_time")
-        .agg(F.count("*").alias("hits"))
+        .agg(F.sum(EVENTS).alias("hits"))
     )
     hits = hits.withColumnsRenamed({SESSION: "hit_session", DAY: "hit_day"})
     within = f"hit_session = {SESSION} AND hit_day = {DAY} AND log_time BETWEEN started AND ended"

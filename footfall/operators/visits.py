@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.model import VISIT_LOOK_BACK
-from footfall.sources.log import between_days, day
+from footfall.sources.log import ENDED, EVENTS, RAW, STARTED, between_days, day
 
 SESSION = "event_session_id"
 DAY = "stat_date"
-HAS_SESSION = f"{SESSION} <> ''"
+HAS_SESSION = f"{RAW}{SESSION} <> ''"
 # Subtracted as they stand: a session zone with summer time must not add or lose an hour.
 SECONDS = "CAST(CAST(ended - started AS INTERVAL SECOND) AS BIGINT)"
 
@@ -62,9 +62,9 @@ def hourly_visits(
 
 def _span():
     return (
-        F.min("log_time").alias("started"),
-        F.max("log_time").alias("ended"),
-        F.count("*").alias("events"),
+        F.min(STARTED).alias("started"),
+        F.max(ENDED).alias("ended"),
+        F.sum(EVENTS).alias("events"),
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from footfall.functions.buckets import PAGE_VIEWS, VISIT_SECONDS, VISITS
 from footfall.functions.fields import axis
+from footfall.operators.cells import PAGE_CELLS, SESSION_CELLS, Cells
 from footfall.operators.lifecycle import STAGES
 from footfall.plans.dimensions import (
     COUNTRY,
@@ -41,11 +42,12 @@ Plan = Callable[[DataFrame, date | None, date | None], DataFrame]
 
 @dataclass(frozen=True)
 class Report:
-    """`floor` is the day before which a full refresh does not begin."""
+    """`floor` is the day before which a full refresh does not begin, `cells` what a refresh rolls the report up from."""
 
     plan: Plan
     columns: tuple[str, ...]
     floor: date = EARLIEST_DAY
+    cells: Cells = SESSION_CELLS  # what a refresh rolls it up from
 
 
 STD = ("stat_date", "lib", "project_name", "is_first_day", "country", "province")
@@ -94,10 +96,12 @@ REPORTS: dict[str, Report] = {
         Traffic(STANDARD, PAGE, metrics=(*WITH_NEW, "entry_count", "exit_count", "down_pv_count"), flow=True),
         (*STD, *PAGE.columns, "uri_host", *WITH_NEW, "entry_count", "exit_count", "down_pv_count"),
         floor=EARLIEST_PAGE_DAY,
+        cells=PAGE_CELLS,
     ),
     "visituri_summary_bydate": Report(
         PageViews((*LIB_PROJECT, axis(PAGE_URL), axis(PAGE_TITLE))),
         ("stat_date", "lib", "project_name", "url", "title", "pv"),
+        cells=PAGE_CELLS,
     ),
     "user_pv_bydate": Report(PAGE_VIEW_HISTOGRAM, (*STD, *PAGE_VIEWS)),
     "user_visit_bydate": Report(VISIT_HISTOGRAM, (*STD, *VISITS)),
@@ -143,7 +147,7 @@ REPORTS: dict[str, Report] = {
 
 
 def report(name: str, log: DataFrame, first: date | None = None, last: date | None = None) -> DataFrame:
-    """The report `name` over a table of tracked events, for the days first..last or for all its days.
+    """The report `name` over a table of tracked events, or of their cells, for the days first..last or for all its days.
 
     A given first day also needs the days of its look-back in `log`.
     """

@@ -16,7 +16,7 @@ from footfall.operators.cube import Cube
 from footfall.operators.lifecycle import STAGES, active_rows, visitor_stages
 from footfall.operators.visits import VISIT_MEASURES, visits
 from footfall.plans.dimensions import COUNTRY, PROVINCE, STANDARD
-from footfall.sources.log import between_days, day
+from footfall.sources.log import EVENTS, between_days, day
 
 VISITOR = "distinct_id"
 RAW_KEYS = tuple(name for one in STANDARD for name in one.columns)
@@ -24,7 +24,7 @@ RAW_KEYS = tuple(name for one in STANDARD for name in one.columns)
 
 def page_views_per_visitor(log: DataFrame, first: date | None, last: date | None) -> DataFrame:
     rows = between_days(log, first, last)
-    return rows.groupBy("stat_date", *RAW_KEYS, VISITOR).agg(F.expr(f"count_if({IS_PAGE_VIEW}) AS value"))
+    return rows.groupBy("stat_date", *RAW_KEYS, VISITOR).agg(F.expr(f"coalesce(sum({EVENTS}) FILTER (WHERE {IS_PAGE_VIEW}), 0) AS value"))
 
 
 def _visits_per_visitor(log: DataFrame, first: date | None, last: date | None, measure: str) -> DataFrame:

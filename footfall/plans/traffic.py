@@ -14,7 +14,7 @@ from footfall.operators.cube import Cube
 from footfall.operators.facts import fact_cells
 from footfall.operators.page_flow import FLOW_MEASURES, page_flow
 from footfall.operators.visits import VISIT_MEASURES, hourly_visits, visit_measures, visits
-from footfall.sources.log import between_days
+from footfall.sources.log import EVENTS, between_days
 
 BASIC = ("pv", "visit_count", "uv", "ip_count", "visit_time", "bounce")
 WITH_NEW = ("pv", "visit_count", "uv", "new_uv", "ip_count", "visit_time", "bounce")
@@ -71,5 +71,5 @@ class PageViews:
     def __call__(self, log: DataFrame, first: date | None = None, last: date | None = None) -> DataFrame:
         cube = Cube(("stat_date",), self.axes)
         rows = encode(between_days(log, first, last), cube.fields)
-        views = rows.selectExpr(*cube.keys, *cube.columns, f"CAST({IS_PAGE_VIEW} AS INT) AS pv")
+        views = rows.selectExpr(*cube.keys, *cube.columns, f"CASE WHEN {IS_PAGE_VIEW} THEN {EVENTS} ELSE 0 END AS pv")
         return cube.report(cube.totals(cube.open_cells(views, ("pv",)), ("pv",)), ("pv",))

@@ -20,10 +20,10 @@ from footfall.plans.dimensions import (
     NAMED_PROVINCE,
     PROJECT,
 )
-from footfall.sources.log import between_days
+from footfall.sources.log import ENDED, EVENTS, RAW, STARTED, between_days
 
 VISITOR = "distinct_id"
-HAS_VISITOR = f"{VISITOR} <> ''"
+HAS_VISITOR = f"{RAW}{VISITOR} <> ''"
 
 
 def _names(fields: Sequence[Field]) -> tuple[str, ...]:
@@ -39,6 +39,10 @@ def _zero(name: str) -> str:
     return f"CAST(coalesce({name}, 0) AS BIGINT) AS {name}"
 
 
+def _sum(rule: str) -> str:
+    return f"coalesce(sum({EVENTS}) FILTER (WHERE {rule}), 0)"
+
+
 BY_VISITOR = (LIB, PROJECT, FIRST_DAY, NAMED_COUNTRY, NAMED_PROVINCE)
 
 
@@ -54,9 +58,9 @@ def by_visitor(log: DataFrame, first: date | None = None, last: date | None = No
         between_days(rows, first, last)
         .groupBy(*keys, "client_ip")
         .agg(
-            F.expr(f"count_if({IS_PAGE_VIEW}) AS pv"),
-            F.expr(f"count_if({IS_NEW_PAGE_VIEW}) AS new_pv"),
-            F.max("log_time").alias("latest_time"),
+            F.expr(f"{_sum(IS_PAGE_VIEW)} AS pv"),
+            F.expr(f"{_sum(IS_NEW_PAGE_VIEW)} AS new_pv"),
+            F.max(ENDED).alias("latest_time"),
         )
         .selectExpr(*keys, "pv", "new_pv", "latest_time", "1 AS ip_count")
     )
@@ -103,9 +107,9 @@ def by_info(log: DataFrame, first: date | None = None, last: date | None = None)
         between_days(rows, first, last)
         .groupBy(*visit_keys, FIRST_DAY.name)
         .agg(
-            F.max("log_time").alias("latest_time"),
-            F.min("log_time").alias("first_time"),
-            F.expr(f"count_if({IS_PAGE_VIEW}) AS pv"),
+            F.max(ENDED).alias("latest_time"),
+            F.min(STARTED).alias("first_time"),
+            F.expr(f"{_sum(IS_PAGE_VIEW)} AS pv"),
         )
     )
     begun = (
@@ -145,7 +149,7 @@ def by_session(log: DataFrame, first: date | None = None, last: date | None = No
     view_keys = ("stat_date", *place, SESSION)
     rows = encode(log.filter(HAS_SESSION), BY_SESSION)
     begun = visits(rows, (*place, "sourcesite", "searchword"), first, last)
-    views = between_days(rows, first, last).groupBy(*view_keys).agg(F.expr(f"count_if({IS_PAGE_VIEW}) AS pv"))
+    views = between_days(rows, first, last).groupBy(*view_keys).agg(F.expr(f"{_sum(IS_PAGE_VIEW)} AS pv"))
     joined = begun.join(views, list(view_keys), "left")
     return joined.selectExpr(
         "stat_date",

@@ -1,32 +1,35 @@
 """Refresh stored reports: one day, a range of days, or the whole history.
 
-Reports are tables partitioned by `stat_date`. A refresh replaces the days it computes, so it may
-be repeated. Old rows stay readable until the new ones stand; then the days of the range that came out
-without rows are dropped, and in a full refresh all other days. A refresh that fails leaves the old rows.
+A refresh reads the log once for each family of reports: the days it computes are merged into cells (`operators/cells.py`), which
+are kept by day, and all reports are rolled up from those. Days that reports look back to are read as the cells that
+earlier refreshes kept; a day that has none is read from the log with the others.
+
+Cells and reports are versioned tables (`sources/versions.py`): the rows of a refresh count all at once when it commits a table, and
+where two refreshes overlap, the one that began later stays. A day that comes out empty is empty in the table, and a full
+refresh leaves no other days. One that fails leaves what was there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from contextlib import contextmanager, nullcontext
-from datetime import date, datetime, timezone
-from threading import Lock
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.model import VISIT_LOOK_BACK
+from footfall.operators.cells import Cells
 from footfall.plans import REPORTS, report
-from footfall.sources.log import between_days, day, earliest_day, event_log
-
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+from footfall.sources import versions
+from footfall.sources.log import between_days, earliest_day, earliest_partition
 
 
 def refresh_day(
     log: DataFrame, only: date, database: str, names: Iterable[str] = REPORTS, keep: StorageLevel | None = None
 ) -> None:
-    """Recompute one day; reads it and its look-back only."""
+    """Recompute one day: reads that day of the log, and the cells of the days it looks back to."""
     refresh_days(log, only, only, database, names, keep)
 
 
@@ -38,53 +41,84 @@ def refresh_days(
     names: Iterable[str] = REPORTS,
     keep: StorageLevel | None = None,
 ) -> None:
-    """Recompute the days first..last, both included, in one pass over the log per report.
+    """Recompute the days first..last, both included, in one pass over these days of the log for each family of reports.
 
-    `keep` holds the log of these days and their look-back while all reports read it, where the
-    cluster has room for that; without it every report scans its own columns of the table.
+    `keep` holds the cells of these days and their look-back while all reports read them, where the cluster has room for that.
     """
     if last < first:
         raise ValueError(f"last day {last} lies before first day {first}")
-    firsts = dict.fromkeys(names, first)
-    if keep is None:
-        _refresh(log, firsts, last, database, everything=False)
-        return
-    with _kept(between_days(event_log(log), first, last, VISIT_LOOK_BACK), keep) as days:
-        _refresh(days, firsts, last, database, everything=False)
+    _refresh(log, dict.fromkeys(names, first), last, database, everything=False, keep=keep)
 
 
 def refresh_full(
-    log: DataFrame,
+    log: DataFrame | str,
     database: str,
     names: Iterable[str] = REPORTS,
     today: date | None = None,
     floor: date | None = None,
+    keep: StorageLevel | None = None,
 ) -> None:
     """Replace the whole tables by the days from the log's first one until today.
 
-    Days before `floor` are left out; by default each report has its own (`EARLIEST_DAY`, `EARLIEST_PAGE_DAY`).
+    `log` may be the name of a table: then its first day is taken from its partitions, without reading it. Days before `floor` are
+    left out; by default each report has its own (`EARLIEST_DAY`, `EARLIEST_PAGE_DAY`).
     """
     last = today or date.today()
+    spark = SparkSession.active()
     starts: dict[date, date] = {}
     firsts = {}
     for name in names:
         lowest = floor or REPORTS[name].floor
         if lowest not in starts:
-            starts[lowest] = earliest_day(log, lowest) or lowest
+            found = earliest_partition(spark, log, lowest) if isinstance(log, str) else earliest_day(log, lowest)
+            starts[lowest] = found or lowest
         firsts[name] = min(starts[lowest], last)
-    _refresh(log, firsts, last, database, everything=True)
+    _refresh(spark.table(log) if isinstance(log, str) else log, firsts, last, database, everything=True, keep=keep)
 
 
-def _refresh(log: DataFrame, firsts: dict[str, date], last: date, database: str, everything: bool) -> None:
+def _refresh(
+    log: DataFrame, firsts: dict[str, date], last: date, database: str, everything: bool, keep: StorageLevel | None
+) -> None:
+    version = versions.new_version()
+    families: dict[Cells, list[str]] = {}
+    for name in firsts:
+        families.setdefault(REPORTS[name].cells, []).append(name)
+    for cells, names in families.items():
+        first = min(firsts[name] for name in names)
+        days = _updated(log, cells, first, last, database, version, everything)
+        with _kept(days, keep) if keep else nullcontext(days) as merged:
+            _store_reports(merged, {name: firsts[name] for name in names}, last, database, version, everything)
+
+
+def _updated(log: DataFrame, cells: Cells, first: date, last: date, database: str, version: int, everything: bool) -> DataFrame:
+    """The cells of the days first..last, made anew from the log, and of their look-back, kept from before where they are."""
+    spark, table = log.sparkSession, f"{database}.{cells.table}"
+    begin = first - timedelta(days=VISIT_LOOK_BACK)
+    before = _days(begin, first - timedelta(days=1))
+    kept = set() if everything else versions.committed_days(spark, table, begin, first)
+    missing = [day for day in before if day not in kept]
+    wanted = between_days(log, missing[0] if missing else first, last)
+    if kept & set(before):
+        wanted = wanted.filter(F.col("stat_date").isin(missing) | (F.col("stat_date") >= first))
+    versions.write(cells.of(wanted), table, version, cells.order)
+    versions.commit(spark, table, version, [*missing, *_days(first, last)], everything)
+    return between_days(spark.table(table), begin, last)
+
+
+def _days(first: date, last: date) -> list[date]:
+    return [first + timedelta(days=n) for n in range((last - first).days + 1)]
+
+
+def _store_reports(cells: DataFrame, firsts: dict[str, date], last: date, database: str, version: int, everything: bool) -> None:
     # Reports of equal plan and range are computed once and written to each of their tables.
     alike: dict[tuple, list[str]] = {}
     for name, first in firsts.items():
         alike.setdefault((id(REPORTS[name].plan), first), []).append(name)
     for (_, first), names in alike.items():
-        rows = report(names[0], log, first, last)
+        rows = report(names[0], cells, first, last)
         with _kept(rows, StorageLevel.MEMORY_AND_DISK) if len(names) > 1 else nullcontext(rows) as result:
             for name in names:
-                store(result, f"{database}.{name}", None if everything else first, None if everything else last)
+                store(result, f"{database}.{name}", _days(first, last), version, everything)
 
 
 @contextmanager
@@ -96,36 +130,14 @@ def _kept(rows: DataFrame, level: StorageLevel):
         kept.unpersist()
 
 
-def store(rows: DataFrame, table: str, first: date | None = None, last: date | None = None) -> None:
-    """Write report rows into `table`, replacing the days first..last; None leaves an end open.
+def store(rows: DataFrame, table: str, days: list[date], version: int | None = None, everything: bool = False) -> None:
+    """Write report rows into `table` in place of `days`, or of all days with `everything`.
 
-    The rebalancing hint brings the rows of a day together and lets adaptive execution split a
-    large day, so a refresh writes neither one file per task and day nor one huge file.
+    `version` is when the rows' refresh began, now by default: it decides between writes that overlap.
     """
     spark = rows.sparkSession
-    started = datetime.now(timezone.utc)
+    version = version or versions.new_version()
+    started = datetime.fromtimestamp(version // 1_000_000_000, timezone.utc)
     ordered = [*(name for name in rows.columns if name != "stat_date"), "update_time", "stat_date"]
-    timed = rows.withColumn("update_time", F.lit(started)).select(*ordered)
-    if not spark.catalog.tableExists(table):
-        timed.limit(0).write.format("parquet").partitionBy("stat_date").saveAsTable(table)
-    with _dynamic_overwrite(spark):
-        timed.hint("rebalance", "stat_date").write.insertInto(table, overwrite=True)
-    # What this refresh did not write came out empty. There are no more such rows than days.
-    old = between_days(spark.table(table), first, last).filter(F.col("update_time") != F.lit(started))
-    for row in old.select("stat_date").distinct().collect():
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (stat_date = {day(row.stat_date)})")
-
-
-#: The overwrite mode belongs to the session: refreshes in several threads take turns in changing it.
-_WRITING = Lock()
-
-
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    with _WRITING:
-        before = spark.conf.get(OVERWRITE_MODE)
-        spark.conf.set(OVERWRITE_MODE, "dynamic")
-        try:
-            yield
-        finally:
-            spark.conf.set(OVERWRITE_MODE, before)
+    versions.write(rows.withColumn("update_time", F.lit(started)).select(*ordered), table, version)
+    versions.commit(spark, table, version, days, everything)
