@@ -56,9 +56,17 @@ JOIN_SQL = (
 DUCKDB_JOIN = JOIN_SQL.format(events="events", pages="pages", paged=f"({PAGES_SQL.replace('{pages}', 'pages')})")
 
 
-def sample_log(spark: SparkSession, folder: str) -> DataFrame:
+# The same log where some libraries, projects and first-day flags are empty.
+BLANK_LOG_SQL = (
+    LOG_SQL.replace("ELSE 'MiniProgram' END AS lib", "WHEN e.user_id % 10 = 9 THEN '' ELSE 'MiniProgram' END AS lib")
+    .replace("ELSE 'beta' END AS project_name", "WHEN e.user_id % 7 = 5 THEN 'beta' ELSE '' END AS project_name")
+    .replace("ELSE 'false' END AS is_first_day", "WHEN e.event_id % 4 = 1 THEN '' ELSE 'false' END AS is_first_day")
+)
+
+
+def sample_log(spark: SparkSession, folder: str, log_sql: str = LOG_SQL) -> DataFrame:
     """The event log over all rows of `events` and `pages`. How the two are joined is left to adaptive execution."""
     events = spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet")
     pages = spark.read.schema(PAGES).parquet(f"{folder}/pages.parquet")
     paged = spark.sql(PAGES_SQL, pages=pages)
-    return spark.sql(LOG_SQL.replace("{joined}", JOIN_SQL), events=events, pages=pages, paged=paged)
+    return spark.sql(log_sql.replace("{joined}", JOIN_SQL), events=events, pages=pages, paged=paged)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from footfall.sources.sample import DUCKDB_JOIN, LOG_SQL
+from footfall.sources.sample import BLANK_LOG_SQL, DUCKDB_JOIN, LOG_SQL
 
 VIEW = (
     "((lib = 'js' AND event = '$pageview') OR (lib IN ('iOS', 'Android') AND event = '$AppViewScreen')"
@@ -64,6 +64,16 @@ PAGE = Dim(
 )
 
 LOG = "log AS (" + LOG_SQL.replace("{joined}", DUCKDB_JOIN) + ")"
+BLANK_LOG = "log AS (" + BLANK_LOG_SQL.replace("{joined}", DUCKDB_JOIN) + ")"
+
+
+def on_blank_log(sql: str) -> str:
+    return sql.replace(LOG, BLANK_LOG)
+
+
+def on_last_day(sql: str) -> str:
+    return f"SELECT * FROM ({sql}) WHERE stat_date = (SELECT CAST(max(CAST(ts AS DATE)) AS VARCHAR) FROM events)"
+
 
 # Cut step by step: what stands before the path, without user info and port, if it holds a dot.
 _AUTHORITY = "regexp_extract(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://', ''), '^[^/?#]*')"

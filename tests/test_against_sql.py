@@ -7,6 +7,7 @@ import pytest
 from __spark_entry__ import as_text, oracle_sql, queries
 from footfall import REPORTS, report
 from footfall.plans.parts import PARTS, part
+from footfall.plans.refreshed import BLANK, LAST_DAY, REFRESHED
 from tests.comparing import difference, duckdb_over, spark_rows, sql_rows
 from tests.logs import duckdb_over_log, log_of, on_log, random_events
 
@@ -25,13 +26,14 @@ def odd():
 
 
 NAMES = (*REPORTS, *PARTS)
+STORED = (*REFRESHED, *(f"last_day_{name}" for name in LAST_DAY), *(f"blank_{name}" for name in BLANK))
 
 
 def test_every_query_has_its_sql():
-    assert {*NAMES} <= queries().keys() & oracle_sql().keys()
+    assert {*NAMES, *STORED} <= queries().keys() & oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", (*NAMES, *STORED))
 def test_given_tables(spark, given, name):
     rows = queries()[name](spark, FOLDER)
     columns, wanted = sql_rows(given, oracle_sql()[name])
