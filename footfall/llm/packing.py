@@ -7,6 +7,7 @@ documents there are. Documents then take their slots by joining on length and ra
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
@@ -27,7 +28,10 @@ RANKED_TOGETHER = 50_000
 #: Plans of at most so many entries (about 40 bytes each) are broadcast; larger ones are joined by shuffling.
 BROADCAST_ENTRIES = 200_000
 #: A worker remembers the ids of the last REMEMBERED to 2 * REMEMBERED words.
-REMEMBERED = 450_000
+REMEMBERED = 150_000
+#: Texts are tokenised together up to so many characters, words that no other has up to so many words.
+CHARACTERS_TOGETHER = 1_000_000
+WORDS_TOGETHER = 200
 LONGEST_REMEMBERED = 64
 #: White space other than these may mean different things to the tokenizer and to Python.
 _USUAL_SPACE = " \t\n\r"
@@ -36,10 +40,21 @@ _MARKS = ".,;:!?*%$&#\""
 _UNUSUAL = [chr(c) for c in range(0x110000) if chr(c).isspace() and chr(c) not in _USUAL_SPACE]
 
 
+#: What a vocabulary file says of a tokenizer that lower-cases, drops white space and never merges across it.
+WORDWISE = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+
+
 class WordTokenizer:
-    """Ids of a tokenizer that drops white space and never merges across it: each word is tokenised once.
+    """Ids of a tokenizer; one that never merges across white space tokenises each word once.
 
-    Ids are little-endian unsigned 32-bit integers.
+    Whether words may be looked at one by one is read from the file; other tokenizers, texts with unusual white space and texts
+    that hold an added token in any case are tokenised whole. Ids are little-endian unsigned 32-bit integers.
     """
 
     def __init__(self, path: str) -> None:
@@ -49,13 +64,46 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        self.wordwise = all(told.get(part) == wanted for part, wanted in WORDWISE.items())
+        self.added = [token["content"].lower() for token in told.get("added_tokens") or []]
+        suffix = told["model"].get("end_of_word_suffix")
+        #: Of each id, whether a word ends with it; None where ids don't tell.
+        self.ends: np.ndarray | None = None
+        if self.wordwise and suffix:
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[number for token, number in vocabulary.items() if token.endswith(suffix)]] = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words. Those of letters alone are one piece each: many go at once, and are parted where a word ends."""
+        found: dict[str, bytes] = {}
+        if self.ends is not None:
+            letters = [word for word in words if word.isalpha()]
+            groups = [letters[at : at + WORDS_TOGETHER] for at in range(0, len(letters), WORDS_TOGETHER)]
+            for group, data in zip(groups, self._encode([" ".join(group) for group in groups]), strict=True):
+                stops = (4 * np.flatnonzero(self.ends[np.frombuffer(data, "<u4")]) + 4).tolist()
+                if len(stops) == len(group):
+                    found.update((word, data[i:j]) for word, i, j in zip(group, [0, *stops], stops))
+        others = [word for word in words if word not in found]
+        found.update(zip(others, self._encode(others), strict=True))
+        return [found[word] for word in words]
+
+    def _words_of(self, text: str) -> list[str] | None:
+        if not self.wordwise or any(c in text for c in _UNUSUAL):
+            return None
+        lowered = text.lower()
+        if any(token in lowered for token in self.added):
+            return None
+        return text.split()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        plain = [None if any(c in text for c in _UNUSUAL) else text.split() for text in texts]
+        plain = [self._words_of(text) for text in texts]
         ids = self._words(set().union(*(words for words in plain if words)))
         take = ids.__getitem__
         return [self._encode([text])[0] if words is None else b"".join(map(take, words)) for text, words in zip(texts, plain, strict=True)]
@@ -80,7 +128,7 @@ class WordTokenizer:
                 missing.append(part)
             else:
                 parts[part] = found or b""
-        parts.update(zip(missing, self._encode(missing), strict=True))
+        parts.update(zip(missing, self._encode_words(missing), strict=True))
         for word, (core, marks) in new.items():
             parts[word] = parts[core] + parts[marks]
         ids.update(parts)
@@ -111,37 +159,57 @@ def tokenizer(path: str) -> WordTokenizer:
 
 
 def pieces(
-    rows: DataFrame, path: str, size: int = SIZE, end: int = 0, id_column: str = "doc_id", text_column: str = "text"
+    rows: DataFrame,
+    path: str,
+    size: int = SIZE,
+    end: int = 0,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    with_ids: bool = True,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, ids): the ids of every text and `end`, cut where longer than `size`.
 
-    Null texts are empty and give the piece of `end` alone.
+    Null texts are empty and give the piece of `end` alone. Without `with_ids` the column `ids` is left out.
     """
+    columns = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64()}
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    if with_ids:
+        columns["ids"] = pa.binary()
+        schema += ", ids binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path)
         last = np.array([end], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                texts = [text or "" for text in part.column(1).to_pylist()]
-                out: list[list] = [[], [], [], [], [], []]
-                for doc_id, ids in zip(part.column(0).to_pylist(), own.encode(texts), strict=True):
+            for ids_of, texts in _together(batch):
+                out: list[list] = [[] for _ in columns]
+                for doc_id, ids in zip(ids_of, own.encode(texts), strict=True):
                     ids += last
                     for piece, start in enumerate(range(0, len(ids), 4 * size)):
                         own_ids = ids[start : start + 4 * size]
                         row = (doc_id, piece, start // 4, len(own_ids) // 4, zlib.crc32(own_ids), own_ids)
-                        for column, value in zip(out, row, strict=True):
+                        for column, value in zip(out, row):
                             column.append(value)
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-                names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, columns.values(), strict=True)], names=list(columns))
 
     chosen = rows.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
     return chosen.mapInArrow(cut, schema)
 
 
+def _together(batch: pa.RecordBatch) -> Iterator[tuple[list[int | None], list[str]]]:
+    """Ids and texts of a batch, in stretches of about CHARACTERS_TOGETHER."""
+    ids, texts, held = [], [], 0
+    for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
+        ids.append(doc_id.as_py())
+        texts.append(text.as_py() or "")
+        held += len(texts[-1])
+        if held >= CHARACTERS_TOGETHER:
+            yield ids, texts
+            ids, texts, held = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, int, int, int, int]]:
     """Best-fit decreasing over counts: entries (length, first rank, last rank, first sequence, offset).
 
@@ -228,4 +296,4 @@ def packed_documents(
     One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. Only documents longer than `size` are cut.
     Null texts are empty (one piece of the end token). Repeated rows and null ids are packed like others.
     """
-    return packed(stored(pieces(rows, path, size, end, id_column, text_column).drop("ids")), size)
+    return packed(stored(pieces(rows, path, size, end, id_column, text_column, with_ids=False)), size)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -19,7 +21,7 @@ import corpus_pipeline
 from footfall.llm import language_id, warc
 from footfall.llm.byte_bpe import Encoder, decoded, encoded, round_trip_digests
 from footfall.llm.html_text import extract, labelled_blocks, main_blocks, main_texts, trained_tree
-from footfall.llm.packing import packed_documents, plan
+from footfall.llm.packing import WordTokenizer, packed_documents, plan
 from footfall.llm.token_rollups import Rollup, deletes, inserts, revisions, token_counts
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -83,6 +85,27 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.archived(table.limit(0)).count() == 0
 
 
+def test_word_tokenizer_equals_the_library():
+    own, other = WordTokenizer(WORDS), Tokenizer.from_file(WORDS)
+    assert own.wordwise and own.ends is not None
+    draw = random.Random(12)
+    parts = [*"abzABZéÉßΣςσİıñ日本ー1²½_'-.,!?<|>\u0301\u00a0\u200b", " ", "  ", "\n", "<|endoftext|>", "<|ENDOFTEXT|>", "<|StartOfText|>", "don't", "WE'LL", "endoftext", "the ", "ſ", "K"]
+    texts = ODD + ["".join(draw.choices(parts, k=draw.randint(0, 25))) for _ in range(6000)]
+    texts += ["<|ENDOFTEXT|>", "<|STARTOFTEXT|>", "x<|endoftext|>y", "x<|EndOfText|>y", " ".join(["word"] * 700 + ["Σ", "ΑΣ", "ΑΣΑ"])]
+    for text, ids in zip(texts, own.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == other.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_other_tokenizers_see_whole_texts(tmp_path):
+    told = json.loads(Path(WORDS).read_text())
+    told["normalizer"] = {"type": "NFC"}
+    (tmp_path / "other.json").write_text(json.dumps(told))
+    own, other = WordTokenizer(str(tmp_path / "other.json")), Tokenizer.from_file(str(tmp_path / "other.json"))
+    assert not own.wordwise
+    for text in ("Some Text, here.", "ABC abc"):
+        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == other.encode(text, add_special_tokens=False).ids
+
+
 def test_packing(spark):
     texts = {i: t for i, t in enumerate(ODD)} | {50: "word " * 5000, 51: None, 52: "one two"}
     table = spark.createDataFrame([(i, t, 1) for i, t in texts.items()] + [(52, "one two", 1)], "doc_id long, text string, offset int")
