@@ -9,14 +9,18 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import unicodedata
 import zlib
 from array import array
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,16 +31,14 @@ SIZE = 2048
 RANKED_TOGETHER = 50_000
 #: Plans of at most so many entries (about 40 bytes each) are broadcast; larger ones are joined by shuffling.
 BROADCAST_ENTRIES = 200_000
-#: A worker remembers the ids of the last REMEMBERED to 2 * REMEMBERED words.
-REMEMBERED = 150_000
-#: Texts are tokenised together up to so many characters, words that no other has up to so many words.
-CHARACTERS_TOGETHER = 1_000_000
+#: A worker remembers the ids of the last REMEMBERED to 2 * REMEMBERED pieces, or of two stretches if they have more.
+REMEMBERED = 200_000
+#: Texts are tokenised together up to so many characters, new pieces up to so many pieces.
+CHARACTERS_TOGETHER = 3_000_000
 WORDS_TOGETHER = 200
 LONGEST_REMEMBERED = 64
 #: White space other than these may mean different things to the tokenizer and to Python.
 _USUAL_SPACE = " \t\n\r"
-#: Marks that are no part of a letter, a contraction or a special token.
-_MARKS = ".,;:!?*%$&#\""
 _UNUSUAL = [chr(c) for c in range(0x110000) if chr(c).isspace() and chr(c) not in _USUAL_SPACE]
 
 
@@ -50,11 +52,22 @@ WORDWISE = {
 }
 
 
+#: The pre-tokenizer's pieces, as the file has them.
+_PIECES = regex.compile(WORDWISE["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+#: The same pieces of texts in which all letters are among ASCII and U+00C0 to U+024F, where only the signs for times and
+#: divided by are none; much faster.
+_LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_IN_LATIN = re.compile(f"[\\x00-\\x7f{_LATIN}]*")
+_LATIN_PIECES = re.compile(f"[a-z{_LATIN}]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\\sa-z0-9{_LATIN}]+")
+#: These are lower-cased differently by Python and by the tokenizer.
+_OTHER_CASE = ("\u03a3", "\u0130")
+
+
 class WordTokenizer:
-    """Ids of a tokenizer; one that never merges across white space tokenises each word once.
+    """Ids of a tokenizer; one that never merges across words tokenises each distinct piece of many texts once.
 
-    Whether words may be looked at one by one is read from the file; other tokenizers, texts with unusual white space and texts
-    that hold an added token in any case are tokenised whole. Ids are little-endian unsigned 32-bit integers.
+    Whether texts may be taken apart is read from the file; other tokenizers, and texts with unusual white space, in another
+    normal form or with an added token in any case, are tokenised whole. Ids are little-endian unsigned 32-bit integers.
     """
 
     def __init__(self, path: str) -> None:
@@ -69,7 +82,7 @@ class WordTokenizer:
         self.wordwise = all(told.get(part) == wanted for part, wanted in WORDWISE.items())
         self.added = [token["content"].lower() for token in told.get("added_tokens") or []]
         suffix = told["model"].get("end_of_word_suffix")
-        #: Of each id, whether a word ends with it; None where ids don't tell.
+        #: Of each id, whether a piece ends with it; None where ids don't tell.
         self.ends: np.ndarray | None = None
         if self.wordwise and suffix:
             vocabulary = self.tokenizer.get_vocab()
@@ -79,75 +92,62 @@ class WordTokenizer:
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """The ids of words. Those of letters alone are one piece each: many go at once, and are parted where a word ends."""
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces. Many of letters alone go at once, and are parted where a piece ends."""
         found: dict[str, bytes] = {}
         if self.ends is not None:
-            letters = [word for word in words if word.isalpha()]
+            letters = [piece for piece in pieces if piece.isalpha()]
             groups = [letters[at : at + WORDS_TOGETHER] for at in range(0, len(letters), WORDS_TOGETHER)]
             for group, data in zip(groups, self._encode([" ".join(group) for group in groups]), strict=True):
                 stops = (4 * np.flatnonzero(self.ends[np.frombuffer(data, "<u4")]) + 4).tolist()
                 if len(stops) == len(group):
-                    found.update((word, data[i:j]) for word, i, j in zip(group, [0, *stops], stops))
-        others = [word for word in words if word not in found]
+                    found.update((piece, data[i:j]) for piece, i, j in zip(group, [0, *stops], stops))
+        others = [piece for piece in pieces if piece not in found]
         found.update(zip(others, self._encode(others), strict=True))
-        return [found[word] for word in words]
+        return [found[piece] for piece in pieces]
 
-    def _words_of(self, text: str) -> list[str] | None:
-        if not self.wordwise or any(c in text for c in _UNUSUAL):
+    def _pieces_of(self, text: str) -> list[str] | None:
+        """The text's pieces in lower case; None where it has to be looked at as a whole."""
+        if not self.wordwise or any(c in text for c in _UNUSUAL) or not unicodedata.is_normalized("NFC", text):
             return None
         lowered = text.lower()
-        if any(token in lowered for token in self.added):
+        if any(token in lowered for token in self.added) or any(c in text for c in _OTHER_CASE):
             return None
-        return text.split()
+        return (_LATIN_PIECES if _IN_LATIN.fullmatch(lowered) else _PIECES).findall(lowered)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        plain = [self._words_of(text) for text in texts]
-        ids = self._words(set().union(*(words for words in plain if words)))
-        take = ids.__getitem__
-        return [self._encode([text])[0] if words is None else b"".join(map(take, words)) for text, words in zip(texts, plain, strict=True)]
-
-    def _words(self, wanted: set[str]) -> dict[str, bytes]:
-        ids, new = {}, {}
+        apart = [self._pieces_of(text) for text in texts]
+        counts = np.array([len(pieces or ()) for pieces in apart], np.int64)
+        whole = [at for at, pieces in enumerate(apart) if pieces is None]
+        found = pa.array(list(chain.from_iterable(pieces for pieces in apart if pieces)), pa.string()).dictionary_encode()
+        ids_of = self._remembered(found.dictionary.to_pylist())
+        lengths = np.array([len(ids) // 4 for ids in ids_of], np.int64)
+        starts = np.cumsum(lengths) - lengths
+        flat = np.frombuffer(b"".join(ids_of), "<u4")
+        order = found.indices.to_numpy()
+        taken = lengths[order]
+        ends = np.cumsum(taken)
+        data = flat[np.repeat(starts[order] - (ends - taken), taken) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        out = [data[i:j].tobytes() for i, j in zip(bounds, bounds[1:])]
+        for at, ids in zip(whole, self._encode([texts[at] for at in whole]), strict=True):
+            out[at] = ids
+        return out
+
+    def _remembered(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces: what is not among the last ones is tokenised."""
         known, older = self.known, self.older
-        for word in wanted:
-            found = known.get(word) or older.get(word)
-            if found is None:
-                new[word] = _halves(word)
-            else:
-                ids[word] = found
-        if not new:
-            return ids
-        # Words differ mostly in case and the marks behind them; what is left is tokenised.
-        parts = {}
-        missing = []
-        for part in {part for halves in new.values() for part in halves}:
-            found = known.get(part) or older.get(part)
-            if found is None and part:
-                missing.append(part)
-            else:
-                parts[part] = found or b""
-        parts.update(zip(missing, self._encode_words(missing), strict=True))
-        for word, (core, marks) in new.items():
-            parts[word] = parts[core] + parts[marks]
-        ids.update(parts)
-        if len(known) >= REMEMBERED:
+        ids = [known.get(piece) or older.get(piece) for piece in pieces]
+        missing = [at for at, found in enumerate(ids) if found is None]
+        for at, found in zip(missing, self._encode_pieces([pieces[at] for at in missing]), strict=True):
+            ids[at] = found
+        if len(known) + len(pieces) > REMEMBERED:
             self.older, self.known = known, {}
-        self.known.update((word, each) for word, each in ids.items() if len(word) <= LONGEST_REMEMBERED)
+        self.known.update((piece, found) for piece, found in zip(pieces, ids) if len(piece) <= LONGEST_REMEMBERED)
         return ids
 
 
-def _halves(word: str) -> tuple[str, str]:
-    """A word and the marks behind it, which never merge; lower case where that is the tokenizer's own."""
-    if word.isascii():
-        word = word.lower()
-    core = word.rstrip(_MARKS)
-    if core and core[-1].lower()[-1].isalnum():
-        return core, word[len(core) :]
-    return word, ""
-
-
 _TOKENIZERS: dict[str, WordTokenizer] = {}
 
 
