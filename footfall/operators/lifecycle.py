@@ -26,26 +26,43 @@ def active_rows(log: DataFrame, first: date | None, last: date | None) -> DataFr
     return between_days(log, first, last, LIFECYCLE_LOOK_BACK).filter(RAW_ACTIVITY)
 
 
+#: A visitor's days are bits of a number, so many days to a row; the days looked back to from its first ones come before them.
+DAYS_TOGETHER = 32
+
+
+def activity_bits(active: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per keys, visitor and block of days: `bits`, on which days there was activity, and `fresh`, on which of them as new.
+
+    Bit LIFECYCLE_LOOK_BACK is the block's first day. Bits are merged on the map side, in a single shuffle; only a block's last
+    days also stand in the block after it.
+    """
+    block, place = f"CAST(floor(n / {DAYS_TOGETHER}) AS INT)", f"pmod(n, {DAYS_TOGETHER})"
+    both = f"CASE WHEN {place} >= {DAYS_TOGETHER - LIFECYCLE_LOOK_BACK} THEN array({block}, {block} + 1) ELSE array({block}) END"
+    days = active.selectExpr(*keys, "distinct_id", "unix_date(stat_date) AS n", "is_first_day = 'true' AS is_fresh")
+    placed = days.selectExpr("*", f"explode({both}) AS block").selectExpr(
+        *keys, "distinct_id", "is_fresh", "block", f"shiftleft(1L, n - block * {DAYS_TOGETHER} + {LIFECYCLE_LOOK_BACK}) AS bit"
+    )
+    return placed.groupBy(*keys, "distinct_id", "block").agg(
+        F.expr("bit_or(bit) AS bits"), F.expr("bit_or(CASE WHEN is_fresh THEN bit ELSE 0L END) AS fresh")
+    )
+
+
 def visitor_stages(active: DataFrame, keys: Sequence[str], first: date | None, last: Column) -> DataFrame:
     """Per report day, keys and visitor: 0/1 for each stage.
 
-    A visitor's active day matters for itself and the three days after it, so each is copied onto
-    those four and they are merged per report day; nothing is compared across days. A day without
+    A report day sees its own bit and those of the days before it; it has a row where any of them is set. A day without
     events still has silent and lost visitors, up to the day `last`.
     """
-    days = active.groupBy("stat_date", *keys, "distinct_id").agg(
-        F.expr("max(CAST(is_first_day = 'true' AS INT)) AS fresh")
-    )
-    copies = days.selectExpr(
-        *keys, "distinct_id", "fresh", "stat_date AS active_date", f"explode(sequence(0, {LIFECYCLE_LOOK_BACK})) AS ago"
-    ).selectExpr(*keys, "distinct_id", "fresh", "ago", "date_add(active_date, ago) AS stat_date")
-    merged = (
-        between_days(copies.filter(F.col("stat_date") <= last), first, None)
-        .groupBy("stat_date", *keys, "distinct_id")
-        .agg(
-            F.expr("max(CAST(ago = 0 AS INT)) AS today"),
-            F.expr("max(CAST(ago = 1 AS INT)) AS yesterday"),
-            F.expr("max(CASE WHEN ago = 0 THEN fresh ELSE 0 END) AS is_new"),
-        )
+    back = LIFECYCLE_LOOK_BACK
+    seen = f"filter(sequence({back}, {back + DAYS_TOGETHER - 1}), p -> shiftright(bits, p - {back}) & {(2 << back) - 1} <> 0)"
+    rows = activity_bits(active, keys).selectExpr("*", f"explode({seen}) AS p")
+    days = rows.selectExpr(
+        f"date_from_unix_date(block * {DAYS_TOGETHER} + p - {back}) AS stat_date",
+        *keys,
+        "distinct_id",
+        "CAST(shiftright(bits, p) & 1 AS INT) AS today",
+        "CAST(shiftright(bits, p - 1) & 1 AS INT) AS yesterday",
+        "CAST(shiftright(fresh, p) & 1 AS INT) AS is_new",
     )
-    return merged.selectExpr("stat_date", *keys, "distinct_id", *(f"{rule} AS {name}" for name, rule in STAGES.items()))
+    told = between_days(days.filter(F.col("stat_date") <= last), first, None)
+    return told.selectExpr("stat_date", *keys, "distinct_id", *(f"{rule} AS {name}" for name, rule in STAGES.items()))
