@@ -32,7 +32,7 @@ from footfall.plans.dimensions import (
     STANDARD,
     STANDARD_NAMED,
 )
-from footfall.plans.histograms import PAGE_VIEW_HISTOGRAM, VISIT_HISTOGRAM, VISIT_TIME_HISTOGRAM, lifecycle
+from footfall.plans.histograms import PAGE_VIEW_HISTOGRAM, VISIT_HISTOGRAM, VISIT_HISTOGRAMS, VISIT_TIME_HISTOGRAM, lifecycle
 from footfall.plans.traffic import BASIC, WITH_NEW, PageViews, Traffic
 from footfall.plans.visitors import by_info, by_session, by_visitor
 from footfall.sources.log import EARLIEST_DAY, EARLIEST_PAGE_DAY, event_log
@@ -48,6 +48,11 @@ class Report:
     columns: tuple[str, ...]
     floor: date = EARLIEST_DAY
     cells: Cells = SESSION_CELLS  # what a refresh rolls it up from
+    together: Plan | None = None  # what a refresh computes instead, for several reports: each takes its columns
+
+    @property
+    def shared(self) -> Plan:
+        return self.together or self.plan
 
 
 STD = ("stat_date", "lib", "project_name", "is_first_day", "country", "province")
@@ -104,8 +109,8 @@ REPORTS: dict[str, Report] = {
         cells=PAGE_CELLS,
     ),
     "user_pv_bydate": Report(PAGE_VIEW_HISTOGRAM, (*STD, *PAGE_VIEWS)),
-    "user_visit_bydate": Report(VISIT_HISTOGRAM, (*STD, *VISITS)),
-    "user_visittime_bydate": Report(VISIT_TIME_HISTOGRAM, (*STD, *VISIT_SECONDS)),
+    "user_visit_bydate": Report(VISIT_HISTOGRAM, (*STD, *VISITS), together=VISIT_HISTOGRAMS),
+    "user_visittime_bydate": Report(VISIT_TIME_HISTOGRAM, (*STD, *VISIT_SECONDS), together=VISIT_HISTOGRAMS),
     "visitor_life_bydate": Report(
         lifecycle, ("stat_date", "lib", "project_name", "country", "province", *STAGES)
     ),

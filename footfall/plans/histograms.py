@@ -41,23 +41,36 @@ def visit_seconds_per_visitor(log: DataFrame, first: date | None, last: date | N
     return _visits_per_visitor(log, first, last, "visit_time")
 
 
+def visits_and_seconds_per_visitor(log: DataFrame, first: date | None, last: date | None) -> DataFrame:
+    """Both at once: how many visits, and their seconds."""
+    begun = visits(log, (*RAW_KEYS, VISITOR), first, last)
+    return begun.groupBy("stat_date", *RAW_KEYS, VISITOR).agg(
+        F.expr(f"sum({VISIT_MEASURES['visit_count']}) AS visits"), F.expr(f"sum({VISIT_MEASURES['visit_time']}) AS seconds")
+    )
+
+
 @dataclass(frozen=True)
 class Histogram:
     """Distinct visitors per value range.
 
     The range is that of the visitor's value under the full dimension tuple; a visitor with
-    several tuples may stand in several ranges of a total.
+    several tuples may stand in several ranges of a total. Several values (`others`, each with ranges of its own) make
+    histograms beside each other: a visitor's row stands once for each, and they go through one cube.
     """
 
     values: Callable[[DataFrame, date | None, date | None], DataFrame]
     buckets: tuple[tuple[str, int], ...]
     axes: tuple[Axis, ...] = STANDARD
+    value: str = "value"
+    others: tuple[tuple[str, tuple[tuple[str, int], ...]], ...] = ()
 
     def __call__(self, log: DataFrame, first: date | None = None, last: date | None = None) -> DataFrame:
         cube = Cube(("stat_date",), self.axes)
-        ranges = dict(self.buckets)
+        ranges = dict(self.buckets) | {name: least for _, buckets in self.others for name, least in buckets}
+        classed = [bucket_of(value, dict(buckets)) for value, buckets in ((self.value, self.buckets), *self.others)]
+        bucket = f"explode(array({', '.join(classed)}))" if self.others else classed[0]
         visitors = encode(self.values(log, first, last), cube.fields).selectExpr(
-            *cube.keys, *cube.columns, VISITOR, f"{bucket_of('value', ranges)} AS bucket", "1 AS visitors"
+            *cube.keys, *cube.columns, VISITOR, f"{bucket} AS bucket", "1 AS visitors"
         )
         leaves = cube.leaves(visitors, (VISITOR, "bucket", "visitors"))
         cells = cube.distinct_cells(leaves, (VISITOR,), flags=("visitors",), keys=("bucket",))
@@ -68,6 +81,13 @@ class Histogram:
 PAGE_VIEW_HISTOGRAM = Histogram(page_views_per_visitor, tuple(PAGE_VIEWS.items()))
 VISIT_HISTOGRAM = Histogram(visits_per_visitor, tuple(VISITS.items()))
 VISIT_TIME_HISTOGRAM = Histogram(visit_seconds_per_visitor, tuple(VISIT_SECONDS.items()))
+# What a refresh computes for both tables; the groups of either are those that have visits.
+VISIT_HISTOGRAMS = Histogram(
+    visits_and_seconds_per_visitor,
+    tuple(VISITS.items()),
+    value="visits",
+    others=(("seconds", tuple(VISIT_SECONDS.items())),),
+)
 
 LIFECYCLE_AXES = (
     axis(Field("lib", unknown=("",), label=None)),

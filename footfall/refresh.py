@@ -23,7 +23,7 @@ from footfall.model import VISIT_LOOK_BACK
 from footfall.operators.cells import Cells
 from footfall.plans import REPORTS, report
 from footfall.sources import versions
-from footfall.sources.log import between_days, earliest_day, earliest_partition
+from footfall.sources.log import between_days, earliest_day, earliest_partition, event_log
 
 
 def refresh_day(
@@ -110,15 +110,17 @@ def _days(first: date, last: date) -> list[date]:
 
 
 def _store_reports(cells: DataFrame, firsts: dict[str, date], last: date, database: str, version: int, everything: bool) -> None:
-    # Reports of equal plan and range are computed once and written to each of their tables.
+    # Reports of a shared plan and range are computed once and written to each of their tables.
     alike: dict[tuple, list[str]] = {}
     for name, first in firsts.items():
-        alike.setdefault((id(REPORTS[name].plan), first), []).append(name)
+        alike.setdefault((id(REPORTS[name].shared), first), []).append(name)
     for (_, first), names in alike.items():
-        rows = report(names[0], cells, first, last)
-        with _kept(rows, StorageLevel.MEMORY_AND_DISK) if len(names) > 1 else nullcontext(rows) as result:
+        if len(names) == 1:
+            store(report(names[0], cells, first, last), f"{database}.{names[0]}", _days(first, last), version, everything)
+            continue
+        with _kept(REPORTS[names[0]].shared(event_log(cells), first, last), StorageLevel.MEMORY_AND_DISK) as result:
             for name in names:
-                store(result, f"{database}.{name}", _days(first, last), version, everything)
+                store(result.select(*REPORTS[name].columns), f"{database}.{name}", _days(first, last), version, everything)
 
 
 @contextmanager

@@ -7,7 +7,9 @@ import re
 import pytest
 
 from footfall import REPORTS, report
-from tests.logs import day, event, log_of
+from footfall.sources.log import event_log
+from tests.comparing import difference, spark_rows
+from tests.logs import day, event, log_of, random_events
 
 
 @pytest.fixture(scope="module")
@@ -77,3 +79,19 @@ def test_full_level_rows_are_merged_before_they_are_copied(table):
     shape = [word for word in words if word in ("Exchange", "Generate", "HashAggregate", "FileScan")]
     merged, copied = ["HashAggregate", "Exchange", "HashAggregate"], ["Generate"]
     assert shape == [*merged, *copied, *merged, "FileScan"]
+
+
+def test_two_histograms_share_their_visits(table):
+    """Both from one plan: the shuffles of one histogram, not of two."""
+    exchanges = lambda rows: rows._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    alone = [exchanges(report(name, table)) for name in ("user_visit_bydate", "user_visittime_bydate")]
+    shared = {REPORTS[name].shared for name in ("user_visit_bydate", "user_visittime_bydate")}
+    assert len(shared) == 1
+    assert exchanges(shared.pop()(event_log(table), None, None)) == alone[0] == alone[1]
+
+
+def test_two_histograms_equal_each_alone(spark):
+    log = log_of(spark, *random_events(seed=41, rows=250)).cache()
+    both = REPORTS["user_visit_bydate"].shared(event_log(log), day(3), day(12)).cache()
+    for name in ("user_visit_bydate", "user_visittime_bydate"):
+        assert difference(spark_rows(both.select(*REPORTS[name].columns)), spark_rows(report(name, log, day(3), day(12)))) == ""
