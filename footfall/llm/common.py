@@ -11,13 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or what the context has.
 
-    Only where neither is set (one machine, tests) a temporary folder is made.
+    Only where neither is set and all runs on one machine, as in tests, a temporary folder is made. On a cluster that is an error:
+    executors would write to their own disks.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="footfall-"))
     return context.getCheckpointDir().rstrip("/")
 

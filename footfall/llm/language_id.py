@@ -28,6 +28,7 @@ RATE = 0.02
 #: Windows read side by side; bounds a task's memory.
 AT_ONCE = 4096
 
+#: What may be a letter; fractions, circled digits and the like are none and are told apart by their category.
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -204,6 +205,11 @@ def _slopes(model: Model, windows: np.ndarray, targets: np.ndarray, weights: np.
     return [*by_forward, *by_backward, by_out]
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether any character is of the Unicode category of letters."""
+    return any(found[0].isalpha() for found in _LETTER.finditer(text or ""))
+
+
 def pooled(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
     """Language and score of each text: the mean probability over all its bytes."""
     languages = len(model.languages)
@@ -235,7 +241,7 @@ def pooled(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray
     flush()
     lengths = np.array([max(1, len(each)) for each in data])
     chances = sums / lengths[:, None]
-    known = [bool(text) and languages > 0 and _LETTER.search(text) is not None for text in texts]
+    known = [languages > 0 and has_letter(text) for text in texts]
     best = chances.argmax(axis=1) if languages else np.zeros(len(data), int)
     labels = [model.languages[b] if k else UNDETERMINED for b, k in zip(best, known, strict=True)]
     scores = np.where(known, chances[np.arange(len(data)), best], 0.0) if languages else np.zeros(len(data))
@@ -263,7 +269,7 @@ def predicted(
     language_column: str = "lang",
     labelled: DataFrame | None = None,
 ) -> DataFrame:
-    """Per row: doc_id, lang_pred and score (0 to 1).
+    """Per row: doc_id, lang_pred, score (0 to 1), and whether the text has a letter.
 
     The model is fitted to a bounded sample of rows of `labelled` (default: `rows`) that meet `training` and have a language and a
     text. Only the text is an input of a prediction; all of it is read. Texts that are null or hold no letter are `und`,
@@ -281,7 +287,8 @@ def predicted(
                 part = batch.slice(at, 500)
                 labels, scores = pooled(model, part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(labels, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"]
+                    [part.column(0), pa.array(labels, pa.string()), pa.array(scores), pa.array(map(has_letter, part.column(1).to_pylist()), pa.bool_())],
+                    names=["doc_id", "lang_pred", "score", "letters"],
                 )
 
-    return rows.select(*columns).mapInArrow(predict, "doc_id long, lang_pred string, score double")
+    return rows.select(*columns).mapInArrow(predict, "doc_id long, lang_pred string, score double, letters boolean")

@@ -161,6 +161,20 @@ def test_language(spark):
     assert language_id.predicted(table.limit(0)).count() == 0
 
 
+def test_only_letters_make_a_language(spark):
+    rows = [(i, "aba bab abba " * 5, "xx") for i in range(20)] + [(100, "½ ² ① Ⅳ", None), (101, "½ a", None), (102, "_ 12", None), (None, "日", None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in language_id.predicted(table, training=F.col("doc_id") < 50).collect()}
+    assert [got[i]["lang_pred"] for i in (100, 101, 102, None)] == ["und", "xx", "und", "xx"]
+    assert [got[i]["letters"] for i in (100, 101, 102, None)] == [False, True, False, True]
+
+
+def test_a_corpus_without_labels_keeps_its_documents(spark):
+    rows = [(i, f"some words {i}", None, "s", 1) for i in range(5)] + [(5, "1 2", None, "s", 1), (6, None, None, "s", 1), (None, "no id", None, "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["doc_id"] for r in corpus_pipeline.language(spark, docs, "").collect()} == {0, 1, 2, 3, 4, None}
+
+
 def test_gradients():
     random_numbers = np.random.default_rng(1)
     model = language_id.train([("a", "abc" * 9), ("b", "xyz" * 9)])
