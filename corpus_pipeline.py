@@ -27,9 +27,12 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told go on; texts that are null or hold no letter go."""
+    """Documents whose language can be told go on; texts that are null or hold no letter go.
+
+    Where no language can be learned, as without labels, only those go.
+    """
     found = predicted(docs, training=~held_out())
-    return _without(docs, found.filter(F.col("lang_pred") == UNDETERMINED))
+    return _without(docs, found.filter((F.col("lang_pred") == UNDETERMINED) & ~F.col("letters")))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
