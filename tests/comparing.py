@@ -7,7 +7,7 @@ from collections import Counter
 import duckdb
 from pyspark.sql import DataFrame
 
-TABLES = ("events", "pages")
+TABLES = ("events", "pages", "documents", "embeddings", "benchmark")
 
 
 def duckdb_over(folder: str) -> duckdb.DuckDBPyConnection:
