@@ -36,6 +36,20 @@ def stored(rows: DataFrame, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """From now on the session sends whole texts to Python in batches of at most `rows`, fewer where it is set so.
+
+    Ten thousand texts, the usual batch, stand in the JVM and in Python at once; a chain of operators in one session has no room for that.
+    Results do not depend on it.
+    """
+    now = int(spark.conf.get(BATCH_ROWS))
+    if now <= 0 or now > rows:
+        spark.conf.set(BATCH_ROWS, str(rows))
+
+
 def blocks(rows: int, per_block: int) -> int:
     """Into how many blocks of about `per_block` so many rows go."""
     return max(1, -(-rows // per_block))
