@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm.common import stored
+from footfall.llm.common import small_batches, stored
 from footfall.llm.exact_dedup import exact_duplicates
 from footfall.llm.jaccard_join import jaccard_components
 from footfall.llm.language_id import UNDETERMINED, predicted
@@ -31,6 +31,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Where no language can be learned, as without labels, only those go.
     """
+    small_batches(spark)
     found = predicted(docs, training=~held_out())
     return _without(docs, found.filter((F.col("lang_pred") == UNDETERMINED) & ~F.col("letters")))
 
@@ -47,11 +48,13 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents tied by n-gram Jaccard links the one with the smallest doc_id stays."""
+    small_batches(spark)
     return _without(docs, jaccard_components(docs).filter("doc_id <> component_id"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are left, packed into sequences."""
+    small_batches(spark)
     return packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
