@@ -17,12 +17,21 @@ from footfall.llm.common import stored
 
 LEAST_CHUNK = 256
 MOST_CHUNK = 4096
-#: A chunk ends after a sentence mark or line end, or after a word of certain endings; or where the text or its patience ends.
-CHUNK = rf"(?s).{{{LEAST_CHUNK},{MOST_CHUNK}}}?(?:(?<=[\n.!?;。！？]|[bdghkmpw]\s)|\z)|.+"
+
+
+def _drawn(first: int = 0x0300, last: int = 0xD7FF) -> str:
+    """A class of one character in sixteen of the scripts beyond Latin: those whose code point modulo 64 is below 4."""
+    return "".join(f"\\u{at:04X}-\\u{at + 3:04X}" for at in range(first, last, 64))
+
+
+#: A chunk ends after a sentence mark or line end, after a word of certain endings, or in scripts beyond Latin after a drawn character;
+#: at the latest after MOST_CHUNK characters, or where the text ends.
+_ENDS = rf"[\n.!?;。！？]|[bdghkmpw]\s|(?=[^\x00-\u02FF])[{_drawn()}]"
+CHUNK = rf"(?s).{{{LEAST_CHUNK},{MOST_CHUNK}}}?(?:(?<={_ENDS})|\z)|.{{1,{MOST_CHUNK}}}"
 
 
 def chunks(text: Column) -> Column:
-    """The chunks of a text in order; joined they are the text. An empty text has none."""
+    """The chunks of a text in order, none longer than MOST_CHUNK; joined they are the text. An empty text has none."""
     return F.regexp_extract_all(text, F.lit(CHUNK), F.lit(0))
 
 
