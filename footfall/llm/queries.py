@@ -140,19 +140,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 OP1_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.n, q.vec_id AS query_id, c.vec_id,
     CAST(coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+  FROM v q JOIN v c ON q.n <> c.n AND len(q.e) = len(c.e)
   WHERE q.vec_id % 20 = 0
 ), ranked AS (
-  SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM scored
+  SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS place FROM scored
 )
-SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 20
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
 """
 
 OP2_SQL = """

@@ -10,7 +10,7 @@ Only approximations (a byte per dimension) are sent to every block of queries.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,16 +24,35 @@ from footfall.llm.common import blocks, stored
 CELLS = 64
 #: Cell ends are quantiles of so many vectors at most; the outermost cells reach to the true ends.
 MARKS_SAMPLE = 4096
+SAMPLE_HASHES = 2**40
 QUERY_BLOCK = 1024
 DATA_BLOCK = 8192
-LARGEST = 2**31 - 1
+#: Doubles beyond this are no 64-bit integers.
+LARGEST = 2.0**63 - 1024
+LARGEST_SCORE = 2**63 - 1
+
+
+def packed(whole: np.ndarray) -> list[bytes]:
+    """Every row of integers as bytes: 32 bits a component where the whole row fits, else 64."""
+    short = (np.abs(whole) < 2**31).all(axis=1)
+    if short.all():
+        return [row.tobytes() for row in whole.astype("<i4")]
+    return [row.astype("<i4" if fits else "<i8").tobytes() for row, fits in zip(whole, short, strict=True)]
+
+
+def unpacked(rows: Iterable[bytes], dims: int) -> np.ndarray:
+    """The integers (rows, dims) that `packed` made bytes of."""
+    rows = list(rows)
+    if all(len(row) == 4 * dims for row in rows):
+        return np.frombuffer(b"".join(rows), "<i4").reshape(len(rows), dims).astype(np.int64)
+    return np.stack([np.frombuffer(row, "<i4" if len(row) == 4 * dims else "<i8").astype(np.int64) for row in rows])
 
 
 def integer_vectors(rows: DataFrame, id_column: str, vector_column: str, scale: float) -> DataFrame:
-    """(vec_id, dims, v): floor(scale * x) of every component, as little-endian 32-bit integers.
+    """(row_id, vec_id, dims, v): floor(scale * x) of every component, as little-endian integers of 32 bits, or 64 where one needs them.
 
     Rows without id, and vectors that are null or hold a null or non-finite component, are left out. Scaled components
-    beyond 32 bits are held at the ends of that range. Of rows with one id the least vector stands.
+    beyond 64 bits are held at the ends of that range. `row_id` tells rows of one id apart; it lasts once the rows are stored.
     """
 
     def scaled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -47,26 +66,26 @@ def integer_vectors(rows: DataFrame, id_column: str, vector_column: str, scale:
                 values = flat[starts[at][:, None] + np.arange(dims)]
                 fine = np.isfinite(values).all(axis=1)
                 with np.errstate(over="ignore"):
-                    whole = np.clip(np.floor(values[fine] * scale), -LARGEST, LARGEST).astype("<i4")
+                    whole = np.clip(np.floor(values[fine] * scale), -LARGEST, LARGEST).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.take(pa.array(at[fine])),
                         pa.array(np.full(len(whole), dims, np.int32)),
-                        pa.array([row.tobytes() for row in whole], pa.binary()),
+                        pa.array(packed(whole), pa.binary()),
                     ],
                     names=["vec_id", "dims", "v"],
                 )
 
     chosen = rows.select(F.col(id_column).cast("long").alias("i"), F.col(vector_column).alias("x"))
     integers = chosen.filter("i IS NOT NULL AND x IS NOT NULL").mapInArrow(scaled, "vec_id long, dims int, v binary")
-    return integers.groupBy("vec_id").agg(F.min_by("dims", "v").alias("dims"), F.min("v").alias("v"))
+    return integers.select(F.monotonically_increasing_id().alias("row_id"), "*")
 
 
-def cell_marks(classes: DataFrame) -> dict[int, np.ndarray]:
+def cell_marks(classes: DataFrame, counts: dict[int, int]) -> dict[int, np.ndarray]:
     """For each number of dimensions the ends of the cells, as an array (dims, CELLS + 1).
 
-    Inner ends are quantiles of a bounded sample; the outer ends are the least and greatest component of
-    all vectors, so every vector lies in its cells.
+    Inner ends are quantiles of a bounded sample, drawn by a hash below a limit that `counts`, the vectors by number of dimensions,
+    sets; the outer ends are the least and greatest component of all vectors, so every vector lies in its cells.
     """
 
     def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -74,7 +93,7 @@ def cell_marks(classes: DataFrame) -> dict[int, np.ndarray]:
         most: dict[int, np.ndarray] = {}
         for batch in batches:
             for dims, group in batch.groupby("dims"):
-                values = np.frombuffer(b"".join(group["v"]), "<i4").reshape(len(group), dims)
+                values = unpacked(group["v"], dims)
                 low, high = values.min(axis=0), values.max(axis=0)
                 least[dims] = np.minimum(least.get(dims, low), low)
                 most[dims] = np.maximum(most.get(dims, high), high)
@@ -83,20 +102,22 @@ def cell_marks(classes: DataFrame) -> dict[int, np.ndarray]:
 
     bounds = (
         classes.select("dims", "v")
-        .mapInPandas(ends, "dims int, d int, least int, most int")
+        .mapInPandas(ends, "dims int, d int, least long, most long")
         .groupBy("dims", "d")
         .agg(F.min("least").alias("least"), F.max("most").alias("most"))
         .toPandas()
     )
-    order = Window.partitionBy("dims").orderBy(F.xxhash64("class_id"), "class_id")
-    sample = (
-        classes.select("dims", "v", F.row_number().over(order).alias("n")).filter(f"n <= {MARKS_SAMPLE}").toPandas()
-    )
+    # Twice as many as are wanted pass the limit, so that few rows meet in the window's task, however many there are.
+    drawn_to = {dims: min(SAMPLE_HASHES, -(-2 * MARKS_SAMPLE * SAMPLE_HASHES // n)) for dims, n in counts.items() if n}
+    limit = F.coalesce(*(F.when(F.col("dims") == dims, F.lit(most)) for dims, most in drawn_to.items()), F.lit(SAMPLE_HASHES))
+    sparse = classes.select("dims", "v", F.xxhash64("v").alias("h")).filter(F.pmod("h", F.lit(SAMPLE_HASHES)) < limit)
+    order = Window.partitionBy("dims").orderBy("h", "v")
+    sample = sparse.select("dims", "v", F.row_number().over(order).alias("n")).filter(f"n <= {MARKS_SAMPLE}").toPandas()
     marks = {0: np.zeros((0, CELLS + 1), np.int64)}
     for dims, group in bounds.groupby("dims"):
         group = group.sort_values("d")
         drawn = sample[sample["dims"] == dims]
-        values = np.frombuffer(b"".join(drawn["v"]), "<i4").reshape(len(drawn), dims)
+        values = unpacked(drawn["v"] if len(drawn) else classes.filter(F.col("dims") == int(dims)).limit(1).toPandas()["v"], dims)
         inner = np.quantile(values, np.arange(1, CELLS) / CELLS, axis=0, method="lower").T
         ends_of = np.concatenate([group["least"].to_numpy()[:, None], inner, group["most"].to_numpy()[:, None]], axis=1)
         marks[int(dims)] = np.maximum.accumulate(ends_of, axis=1).astype(np.int64)
@@ -120,15 +141,18 @@ def cell_ends(cells: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def bounds(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Upper and lower bounds of the inner products, as integers. Float sums are exact below 2^53 and widened above."""
+    """Upper and lower bounds of the inner products. Float sums are exact below 2^53 and widened above."""
     plus, minus = np.maximum(queries, 0), np.minimum(queries, 0)
-    largest = queries.shape[1] * float(max(1, np.abs(queries).max(initial=0))) * float(max(1, np.abs(low).max(initial=0), np.abs(high).max(initial=0)))
+    dims = queries.shape[1]
+    largest = dims * float(max(1, np.abs(queries).max(initial=0))) * float(max(1, np.abs(low).max(initial=0), np.abs(high).max(initial=0)))
     kind = np.float32 if largest < 2**24 else np.float64
     both = np.concatenate([plus, minus], axis=1).astype(kind)
     upper = both @ np.concatenate([high, low], axis=1).astype(kind).T
     lower = both @ np.concatenate([low, high], axis=1).astype(kind).T
     if largest >= 2**52:
-        upper, lower = upper + largest * 2.0**-40, lower - largest * 2.0**-40
+        # Rounding of 2 * dims products and sums, of the factors and of what the bounds are compared with.
+        spare = largest * (dims + 8) * 2.0**-50
+        upper, lower = upper + spare, lower - spare
     return upper, lower
 
 
@@ -139,9 +163,9 @@ def scan(marks: dict[int, np.ndarray], k: int):
         out = {"q": [], "c": [], "upper": [], "lower": []}
         if len(queries) and len(data):
             dims = int(queries["dims"].iloc[0])
-            packed = np.frombuffer(b"".join(data["cells"]), np.uint8).reshape(len(data), dims)
-            low, high = cell_ends(packed, marks[dims])
-            wanted = np.frombuffer(b"".join(queries["v"]), "<i4").reshape(len(queries), dims).astype(np.int64)
+            held = np.frombuffer(b"".join(data["cells"]), np.uint8).reshape(len(data), dims)
+            low, high = cell_ends(held, marks[dims])
+            wanted = unpacked(queries["v"], dims)
             ids, names = data["class_id"].to_numpy(), queries["q"].to_numpy()
             for at in range(0, len(wanted), 128):
                 upper, lower = bounds(wanted[at : at + 128], low, high)
@@ -152,33 +176,41 @@ def scan(marks: dict[int, np.ndarray], k: int):
                     row, column = np.nonzero(np.ones_like(upper, bool))
                 out["q"].append(names[at : at + 128][row])
                 out["c"].append(ids[column])
-                out["upper"].append(np.clip(np.ceil(upper[row, column]), -(2.0**62), 2.0**62).astype(np.int64))
-                out["lower"].append(np.clip(np.floor(lower[row, column]), -(2.0**62), 2.0**62).astype(np.int64))
-        return pd.DataFrame({key: np.concatenate([np.empty(0, np.int64), *parts]) for key, parts in out.items()})
+                out["upper"].append(upper[row, column].astype(float))
+                out["lower"].append(lower[row, column].astype(float))
+        return pd.DataFrame({key: np.concatenate([np.empty(0, np.int64 if key in "qc" else float), *parts]) for key, parts in out.items()})
 
     return scanned
 
 
+def products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Exact inner products row by row, held at the ends of 64 bits: in 64 bits where none can leave them, else in Python's integers."""
+    most = [float(max(1, np.abs(side.astype(float)).max(initial=0))) for side in (left, right)]
+    if left.shape[1] * most[0] * most[1] < 2.0**62:
+        return np.einsum("ij,ij->i", left, right)
+    exact = (left.astype(object) * right.astype(object)).sum(axis=1)
+    return np.array([min(max(int(score), -LARGEST_SCORE), LARGEST_SCORE) for score in exact], np.int64)
+
+
 def exact_scores(pairs: DataFrame, queries: DataFrame, classes: DataFrame) -> DataFrame:
-    """(q, c, score) of pairs (q, c): the exact vectors are read for these alone."""
+    """(q, c, least, score) of pairs (q, c): the exact vectors are read for these alone."""
 
     def multiplied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (batch.column(i).to_pylist() for i in (2, 3))
+            left, right = (batch.column(i).to_pylist() for i in (4, 5))
             scores = np.zeros(len(left), np.int64)
-            lengths = np.array([len(x) for x in left], np.int64)
-            for length in np.unique(lengths):
-                at = np.flatnonzero(lengths == length)
-                a, b = (np.frombuffer(b"".join(side[i] for i in at), "<i4").reshape(len(at), length // 4) for side in (left, right))
-                scores[at] = np.einsum("ij,ij->i", a.astype(np.int64), b.astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores)], names=["q", "c", "score"])
+            lengths = batch.column(3).to_numpy()
+            for dims in np.unique(lengths):
+                at = np.flatnonzero(lengths == dims)
+                scores[at] = products(*(unpacked([side[i] for i in at], int(dims)) for side in (left, right)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(scores)], names=["q", "c", "least", "score"])
 
     return (
         pairs.select("q", "c")
         .join(queries.select("q", F.col("v").alias("qv")), "q")
-        .join(classes.select(F.col("class_id").alias("c"), F.col("v").alias("cv")), "c")
-        .select("q", "c", "qv", "cv")
-        .mapInArrow(multiplied, "q long, c long, score long")
+        .join(classes.select(F.col("class_id").alias("c"), "least", "dims", F.col("v").alias("cv")), "c")
+        .select("q", "c", "least", "dims", "qv", "cv")
+        .mapInArrow(multiplied, "q long, c long, least long, score long")
     )
 
 
@@ -194,26 +226,27 @@ def exact_top_k(
 
     `is_query` is a condition on the column vec_id. All rows but the query's own are candidates; ties go to the smaller
     id; fewer than k candidates give fewer rows. Only vectors of the query's number of dimensions compare (empty ones
-    score 0). Null and non-finite vectors and rows without id take no part, rows repeating an id count once (the least
-    vector). An empty table gives no rows.
+    score 0). Null and non-finite vectors and rows without id take no part. Rows that repeat an id are rows of their own, as
+    candidates (also for each other) and as queries, each with ranks from 1. Components beyond 64 bits, and scores, are held at
+    the ends of that range. An empty table gives no rows.
 
     Equal vectors are one class: its smallest k + 1 ids are all that any answer can need, so a vector shared by a third
     of the rows is scanned once.
     """
     spark = rows.sparkSession
     base = stored(integer_vectors(rows, id_column, vector_column, scale))
-    classes = stored(base.groupBy("dims", "v").agg(F.min("vec_id").alias("class_id")))
+    classes = stored(base.groupBy("dims", "v").agg(F.min("row_id").alias("class_id"), F.min("vec_id").alias("least")))
     asked = base.filter(is_query)
     queries = (
         asked.select("dims", "v").distinct().join(classes, ["dims", "v"]).select("dims", "v", F.col("class_id").alias("q"))
     )
-    counts = {r["dims"]: (r["n"], r["m"]) for r in classes.groupBy("dims").agg(F.count("*").alias("n"), F.lit(0).alias("m")).collect()}
+    counts = {r["dims"]: r["n"] for r in classes.groupBy("dims").agg(F.count("*").alias("n")).collect()}
     wanted = {r["dims"]: r["n"] for r in queries.groupBy("dims").agg(F.count("*").alias("n")).collect()}
-    n_data = {dims: blocks(n, DATA_BLOCK) for dims, (n, _) in counts.items()}
+    n_data = {dims: blocks(n, DATA_BLOCK) for dims, n in counts.items()}
     n_query = {dims: blocks(n, QUERY_BLOCK) for dims, n in wanted.items()}
     if not n_query:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    marks = cell_marks(classes)
+    marks = cell_marks(classes, counts)
     keep = k + 1
 
     def per_dims(numbers: dict[int, int]) -> Column:
@@ -222,12 +255,11 @@ def exact_top_k(
     def approximated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             table = batch.to_pandas()
-            packed = np.empty(len(table), object)
+            numbers = np.empty(len(table), object)
             for dims, group in table.groupby("dims"):
-                values = np.frombuffer(b"".join(group["v"]), "<i4").reshape(len(group), dims)
-                packed[group.index] = [row.tobytes() for row in cells_of(values, marks[int(dims)])]
+                numbers[group.index] = [row.tobytes() for row in cells_of(unpacked(group["v"], dims), marks[int(dims)])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("dims"), batch.column("class_id"), pa.array(packed, pa.binary())], names=["dims", "class_id", "cells"]
+                [batch.column("dims"), batch.column("class_id"), pa.array(numbers, pa.binary())], names=["dims", "class_id", "cells"]
             )
 
     searched = classes.filter(F.col("dims").isin(list(n_query)))
@@ -247,7 +279,7 @@ def exact_top_k(
     near = (
         asking.groupBy(*block)
         .cogroup(cells.groupBy(*block))
-        .applyInPandas(scan(marks, keep), "q long, c long, upper long, lower long")
+        .applyInPandas(scan(marks, keep), "q long, c long, upper double, lower double")
     )
     by_query = Window.partitionBy("q")
     limit = F.max(F.when(F.col("by_lower") == keep, F.col("lower"))).over(by_query)
@@ -262,25 +294,28 @@ def exact_top_k(
     reached = first.groupBy("q").agg(F.min("score").alias("kth"))
     rest = near.filter(F.col("turn") > keep).join(reached, "q").filter("upper >= kth")
     scored = first.unionByName(exact_scores(rest, queries, classes))
-    best = F.row_number().over(by_query.orderBy(F.desc("score"), "c"))
+    best = F.row_number().over(by_query.orderBy(F.desc("score"), "least", "c"))
     scored = scored.withColumn("n", best).filter(F.col("n") <= keep).drop("n")
 
-    same = Window.partitionBy("dims", "v").orderBy("vec_id").rowsBetween(Window.unboundedPreceding, 0)
+    # The first rows of every class; the first of those with one id is the query's own where both are alike.
+    known = base.join(classes, ["dims", "v"]).select("row_id", "vec_id", F.col("class_id").alias("c"))
+    within = Window.partitionBy("c").orderBy("vec_id")
     members = (
-        base.select("vec_id", F.first("vec_id").over(same).alias("c"), F.row_number().over(same).alias("n"))
+        known.select("c", "vec_id", F.row_number().over(within).alias("n"))
         .filter(F.col("n") <= keep)
-        .select("vec_id", "c")
+        .select("c", "vec_id", F.row_number().over(Window.partitionBy("c", "vec_id").orderBy("n")).alias("turn"))
     )
     answers = (
         scored.join(members, "c")
-        .withColumn("n", F.row_number().over(by_query.orderBy(F.desc("score"), "vec_id")))
+        .withColumn("n", F.row_number().over(by_query.orderBy(F.desc("score"), "vec_id", "c", "turn")))
         .filter(F.col("n") <= keep)
     )
-    named = asked.join(classes, ["dims", "v"]).select(F.col("vec_id").alias("query_id"), F.col("class_id").alias("q"))
-    ranked = Window.partitionBy("query_id").orderBy("n")
+    named = asked.join(classes, ["dims", "v"]).select("row_id", F.col("vec_id").alias("query_id"), F.col("class_id").alias("q"))
+    own = (F.col("vec_id") == F.col("query_id")) & (F.col("c") == F.col("q")) & (F.col("turn") == 1)
+    ranked = Window.partitionBy("row_id").orderBy("n")
     return (
         named.join(answers, "q")
-        .filter("vec_id <> query_id")
+        .filter(~own)
         .select("query_id", F.row_number().over(ranked).alias("rank"), "vec_id", "score")
         .filter(F.col("rank") <= k)
     )
