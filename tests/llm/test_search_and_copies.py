@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from footfall.llm.components import components
-from footfall.llm.exact_dedup import exact_duplicates
+from footfall.llm.exact_dedup import MOST_CHUNK, chunks, exact_duplicates
 from footfall.llm.jaccard_join import bitmap, differing_bits, jaccard_components, shingle_hashes
 from footfall.llm.line_dedup import CHARS_PER_EDIT, EDITS, near_lines
 from footfall.llm.vector_search import exact_top_k
@@ -22,21 +22,41 @@ def found(rows, *columns):
     return sorted(rows.select(*columns).collect(), key=str)
 
 
+def check_top_k(table, whole):
+    """`whole` has a row (id, integers) for every row that takes part; each is a query and a candidate of its own."""
+    expected = []
+    for n, (q, own) in enumerate(whole):
+        if q % 20 == 0:
+            others = [(i, v) for m, (i, v) in enumerate(whole) if m != n and len(v) == len(own)]
+            scores = [(-sum(a * b for a, b in zip(own, v)), i) for i, v in others]
+            expected += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(sorted(scores)[:20])]
+    got = [tuple(r) for r in exact_top_k(table, F.col("vec_id") % 20 == 0).select("query_id", "rank", "vec_id", "score").collect()]
+    assert sorted(got) == sorted(expected)
+
+
+def test_top_k_of_large_components(spark):
+    """Components beyond 32 bits, and scores beyond 53, between small ones; ties and neighbours there."""
+    rows = [(0, [1.0, 0.0]), (1, [5e8, 0.0]), (2, [6e8, 0.0]), (3, [6e8, 1.0])]
+    check_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), [(i, [math.floor(64 * x) for x in v]) for i, v in rows])
+    draw = random.Random(8)
+    rows += [(i, [draw.choice([1e4, 3.1e5, 1.0]) * draw.gauss(0, 1), draw.gauss(0, 9)]) for i in range(4, 120)]
+    rows += [(i, [2e5, i / 64]) for i in range(120, 200)]
+    check_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), [(i, [math.floor(64 * x) for x in v]) for i, v in rows])
+    # Beyond 64 bits both components and scores are held at the ends.
+    ends = spark.createDataFrame([(0, [1e300]), (1, [1e300]), (2, [-1e300]), (3, [0.0])], "vec_id long, embedding array<double>")
+    got = [(r["vec_id"], r["score"]) for r in exact_top_k(ends, F.col("vec_id") == 0).orderBy("rank").collect()]
+    assert got == [(1, 2**63 - 1), (3, 0), (2, 1 - 2**63)]
+
+
 def test_top_k_against_brute_force(spark):
     draw = random.Random(3)
     rows = [(i, [draw.gauss(0, 0.4) for _ in range(7)], "x") for i in range(150)]
     rows += [(i, rows[0][1], "same") for i in range(150, 190)]
     rows += [(200, None, "null"), (220, [1.0, None] * 3 + [1.0], "hole"), (240, [math.nan] * 7, "nan"), (260, [math.inf] * 7, "inf")]
-    rows += [(None, [0.1] * 7, "no id"), (280, [0.5, 0.5], "short"), (300, [], "empty"), rows[5]]
+    rows += [(None, [0.1] * 7, "no id"), (280, [0.5, 0.5], "short"), (300, [], "empty"), rows[5], rows[20], (20, rows[7][1], "another")]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string")
-    whole = {i: [math.floor(64 * x) for x in v] for i, v, _ in rows[:190]} | {280: [32, 32], 300: []}
-    expected = []
-    for q in whole:
-        if q % 20 == 0:
-            scores = [(-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q and len(v) == len(whole[q])]
-            expected += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scores)[:20])]
-    got = [tuple(r) for r in exact_top_k(table, F.col("vec_id") % 20 == 0).select("query_id", "rank", "vec_id", "score").collect()]
-    assert sorted(got) == sorted(expected)
+    whole = [(i, [math.floor(64 * x) for x in v]) for i, v, _ in [*rows[:190], *rows[-5:]]]
+    check_top_k(table, whole)
     assert exact_top_k(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
@@ -59,6 +79,18 @@ def test_copies(spark, weak):
     assert exact_duplicates(table.limit(0)).count() == 0
 
 
+def test_chunks_end_in_every_script(spark):
+    draw = random.Random(9)
+    texts = ["a" * 200_000, "".join(chr(draw.randint(0x3041, 0x3096)) for _ in range(140_000)), "x" * 5000 + ". tail", "", "short", "𝒳" * 9000]
+    for row in spark.createDataFrame([(t,) for t in texts], "text string").select("text", chunks(F.col("text")).alias("c")).collect():
+        assert "".join(row["c"]) == row["text"]
+        assert all(len(chunk) <= MOST_CHUNK + 1 for chunk in row["c"])
+    # What stands before a text in such a script does not change the chunks behind.
+    kana = texts[1]
+    two = spark.createDataFrame([(kana,), ("あ" * 77 + kana,)], "text string").select(chunks(F.col("text")).alias("c")).collect()
+    assert len(set(two[0]["c"]) & set(two[1]["c"])) > 0.9 * len(two[0]["c"])
+
+
 def distance(a: str, b: str) -> int:
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

@@ -197,6 +197,65 @@ def test_gradients():
         assert (up - down) / 2e-2 == pytest.approx(slope[at], rel=0.05, abs=1e-4)
 
 
+def test_rollups_against_a_recount(spark, tmp_path, monkeypatch):
+    """Random batches of inserts, deletes and revisions, repeated, revised, emptied and crashed."""
+    draw = random.Random(12)
+    kinds = [("s", "en", "v"), ("s", None, "v"), (None, "de", "w")]
+    rollup, batches = Rollup(spark, str(tmp_path / "rollup")), {}
+    deltas = "source string, lang string, tokenizer_version string, documents long, tokens long"
+
+    def commit(name, rows):
+        rollup.commit(name, spark.createDataFrame(rows, deltas))
+
+    def recount():
+        sums = defaultdict(lambda: [0, 0])
+        for rows in batches.values():
+            for *key, documents, tokens in rows:
+                sums[tuple(key)][0] += documents
+                sums[tuple(key)][1] += tokens or 0
+        return {key: tuple(n) for key, n in sums.items() if any(n)}
+
+    def totals():
+        return {tuple(r[:3]): tuple(r[3:]) for r in rollup.totals().collect()}
+
+    for step in range(7):
+        name = f"b{draw.randint(0, 3)}"
+        rows = [(*draw.choice(kinds), draw.choice([-1, 0, 1]), draw.choice([None, -7, 5, 40])) for _ in range(draw.choice([0, 3, 20]))]
+        for _ in range(draw.choice([1, 2])):
+            commit(name, rows)
+        batches[name] = rows
+        assert totals() == recount(), step
+    # A commit that ends before its last step changes nothing; its retry does.
+    class Broken(Exception):
+        pass
+
+    def broken(*_, **__):
+        raise Broken
+
+    before = totals()
+    with monkeypatch.context() as patch:
+        patch.setattr(rollup, "_mark", broken)
+        with pytest.raises(Broken):
+            commit("b9", [("s", "en", "v", 1, 100)])
+    assert totals() == before
+    commit("b9", [("s", "en", "v", 1, 100)])
+    batches["b9"] = [("s", "en", "v", 1, 100)]
+    assert totals() == recount()
+
+
+def test_old_batches_are_folded_away(spark, tmp_path):
+    rollup = Rollup(spark, str(tmp_path / "rollup"), open_batches=2)
+    row = [("s", "en", "v", 1, 10)]
+    deltas = "source string, lang string, tokenizer_version string, documents long, tokens long"
+    for n in range(4):
+        rollup.commit(f"b{n}", spark.createDataFrame(row, deltas))
+    assert {r["batch"] for r in rollup._current()[1].filter("kind = 'batch'").collect()} == {"b2", "b3"}
+    # One that is folded into the totals stays what it is, one still open can be replaced.
+    rollup.commit("b0", spark.createDataFrame(row * 5, deltas))
+    rollup.commit("b3", spark.createDataFrame([], deltas))
+    assert [tuple(r) for r in rollup.totals().collect()] == [("s", "en", "v", 3, 30)]
+
+
 def test_rollups(spark, tmp_path):
     rows = [(1, "one two three", "s", "en"), (2, None, None, "en"), (3, "four", "s", None), (4, "x", "s", "en")]
     table = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").withColumn("tokenizer_version", F.lit("v"))
