@@ -26,8 +26,10 @@ CHARS_PER_EDIT = 16
 PARTS = 12
 #: Words of 64 bits in the signature of neighbouring characters; a power of two.
 SIGNATURE_WORDS = 4
-#: Up to so many candidate lines (8 bytes each) are broadcast to the lines; beyond, both are shuffled.
+#: Up to so many keys or candidate lines (8 bytes each) are broadcast to all of them; beyond, both are shuffled.
 BROADCAST_CANDIDATES = 500_000
+#: The same for lines with links, by their identifiers and places (about 150 bytes each).
+BROADCAST_LINES = 100_000
 
 
 def allowed(length: Column, edits: int) -> Column:
@@ -73,14 +75,14 @@ def keyed(lines: DataFrame, edits: int) -> DataFrame:
 
 
 def met(lines: DataFrame, edits: int) -> DataFrame:
-    """The keys (key, h, own) under which a line in the index meets another line."""
+    """The keys (key, h, own) under which a line in the index meets another line.
+
+    One aggregation, merged on the map side, says which keys do: a key that many lines share leaves each task once. The keys are
+    then made anew and held against those, which are broadcast only if they were counted to be few.
+    """
     keys = keyed(lines, edits)
-    index = keys.filter("own").select("key", F.col("h").alias("x"))
-    probes = keys.select("key", F.col("h").alias("y"))
-    differ = (F.col("i.key") == F.col("p.key")) & (F.col("x") != F.col("y"))
-    found = index.alias("i").join(probes.alias("p"), differ, "left_semi").select("key", F.col("x").alias("h"), F.lit(True).alias("own"))
-    probing = probes.alias("p").join(index.alias("i"), differ, "left_semi").select("key", F.col("y").alias("h"), F.lit(False).alias("own"))
-    return found.unionByName(probing)
+    shared = keys.groupBy("key").agg(F.min("h").alias("first"), F.max("h").alias("last"), F.max("own").alias("indexed"))
+    return few(keys, shared.filter("indexed AND first <> last").select("key"), "key")
 
 
 def signature(line: Column) -> Column:
@@ -115,10 +117,10 @@ def likely(left: Column, right: Column, size: Column, edits: int) -> Column:
 def candidates(lines: DataFrame, edits: int) -> DataFrame:
     """Pairs (a, b) of different lines, by hash, that share a segment where two near lines may and have like signatures."""
     keys = stored(met(lines, edits))
-    signed = stored(few(lines, keys.select("h").distinct()).select("h", "size", signature(F.col("line")).alias("s")))
+    signed = stored(few(lines, keys.select("h").distinct(), "h").select("h", "size", signature(F.col("line")).alias("s")))
     known = keys.join(signed, "h")
     index = known.filter("own").select("key", F.col("h").alias("x"), F.col("size").alias("nx"), F.col("s").alias("sx"))
-    probes = known.filter("NOT own").select("key", F.col("h").alias("y"), F.col("size").alias("ny"), F.col("s").alias("sy"))
+    probes = known.select("key", F.col("h").alias("y"), F.col("size").alias("ny"), F.col("s").alias("sy"))
     # A line probes for shorter ones or equally long ones.
     close = likely(F.col("sx"), F.col("sy"), F.col("nx"), edits)
     pairs = index.withColumnRenamed("key", "index_key").join(
@@ -127,12 +129,15 @@ def candidates(lines: DataFrame, edits: int) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def few(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The lines whose hash is in `wanted`, which is broadcast only if it was counted to be small."""
-    wanted = stored(wanted)
-    if wanted.count() <= BROADCAST_CANDIDATES:
-        wanted = F.broadcast(wanted)
-    return lines.join(wanted, "h", "left_semi")
+def counted(rows: DataFrame, most: int = BROADCAST_LINES) -> DataFrame:
+    """`rows`, written, for a join: to be broadcast if they were counted to be few, so that the other side need not be shuffled."""
+    rows = stored(rows)
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
+def few(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """The rows whose hash in `column` is in `wanted`."""
+    return rows.join(counted(wanted, BROADCAST_CANDIDATES), column, "left_semi")
 
 
 def parts_agree(short: Column, long: Column, edits: int) -> Column:
@@ -210,7 +215,7 @@ def near_lines(
     )
     pairs = stored(candidates(lines.select("h", "line", "size"), edits))
     line_id = F.sha2("line", 256)
-    texts = stored(few(lines, pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()).select("h", "line", "size"))
+    texts = stored(few(lines, pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "h").select("h", "line", "size"))
     left = texts.select(F.col("h").alias("a"), F.col("line").alias("la"), F.col("size").alias("sa"))
     right = texts.select(F.col("h").alias("b"), F.col("line").alias("lb"), F.col("size").alias("sb"))
     ordered = pairs.join(left, "a").join(right, "b").select(
@@ -224,10 +229,10 @@ def near_lines(
     degrees = links.select(F.explode(F.array("a", "b")).alias("line_id")).groupBy("line_id").agg(F.count("*").alias("links"))
     groups = components(links).withColumnRenamed("node", "line_id")
     known = lines.select(line_id.alias("line_id"), "place", "copies")
-    tied = stored(known.join(groups, "line_id").join(degrees, "line_id"))
+    tied = stored(known.join(counted(groups.join(degrees, "line_id")), "line_id"))
     first = tied.groupBy("component").agg(F.min(F.struct("place", "line_id")).alias("keep"))
     tied = tied.join(first, "component").select("line_id", "links", F.col("keep.place").alias("keep"))
-    return known.join(tied, "line_id", "left").select(
+    return known.join(counted(tied), "line_id", "left").select(
         "line_id",
         F.col("place.doc_id").alias("doc_id"),
         F.col("place.line_no").alias("line_no"),
