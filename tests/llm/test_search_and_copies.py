@@ -130,6 +130,35 @@ def test_near_lines_against_brute_force(spark):
     assert near_lines(table.limit(0)).count() == 0
 
 
+def test_near_lines_of_odd_rows_and_joined_by_shuffles(spark, monkeypatch):
+    """Null and repeated ids, a very long line, many versions of one line, and no table small enough to be broadcast."""
+    from footfall.llm import line_dedup
+
+    base = "The quick brown fox jumps over the lazy dog at noon."
+    versions = [base[:at] + "#" + base[at + 1 :] for at in range(0, 50, 2)]
+    long = "word and another " * 6000
+    rows = [(base, None), (base, 7), (base, 7), ("\n".join(versions), 3), (long, 5), (long[:-9] + long[-8:], None), (None, None)]
+    table = spark.createDataFrame([(t, i, "x") for t, i in rows], "text string, doc_id long, line string")
+    lines = sorted({line for t, _ in rows for line in (t or "").split("\n")})
+
+    def results():
+        return sorted(map(tuple, near_lines(table).collect()), key=str)
+
+    got = results()
+    by_id = {row[0]: row for row in got}
+    assert len(got) == len(lines)
+    for line in [base, *versions]:
+        row = by_id[hashlib.sha256(line.encode()).hexdigest()]
+        # One version is the base with one edit, two versions are two edits apart.
+        assert row[4] == len(versions) and row[5:] == (3, 0)
+    first, second = (by_id[hashlib.sha256(t.encode()).hexdigest()] for t in (long, rows[5][0]))
+    assert first[4] == second[4] == 1 and first[5:] == second[5:] == (5, 0)
+    assert by_id[hashlib.sha256(base.encode()).hexdigest()][1:4] == (7, 0, 3)
+    monkeypatch.setattr(line_dedup, "BROADCAST_CANDIDATES", -1)
+    monkeypatch.setattr(line_dedup.counted, "__defaults__", (-1,))
+    assert results() == got
+
+
 def test_jaccard_components_against_brute_force(spark):
     draw = random.Random(5)
     words = [f"w{i}" for i in range(400)]
