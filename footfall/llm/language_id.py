@@ -253,11 +253,13 @@ def sampled(labelled: DataFrame) -> list[tuple[str, str]]:
 
     Of a text only WINDOWS_PER_DOCUMENT stretches, spread over its whole length, are brought to the driver.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    chosen = labelled.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= SAMPLE_PER_LANGUAGE)
     step = F.greatest(F.lit(WINDOW), F.floor(F.length("text") / WINDOWS_PER_DOCUMENT)).cast("int")
-    stretch = F.explode(F.transform(F.sequence(F.lit(0), F.lit(WINDOWS_PER_DOCUMENT - 1)), lambda i: F.substring("text", i * step + 1, F.lit(WINDOW))))
-    rows = chosen.select("lang", "n", stretch.alias("text")).filter("text <> ''").orderBy("lang", "n", "text").collect()
+    stretches = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS_PER_DOCUMENT - 1)), lambda i: F.substring("text", i * step + 1, F.lit(WINDOW)))
+    # Only the stretches are moved, and of each task's rows only those that may be among the least.
+    cut = labelled.select("lang", "doc_id", F.xxhash64("doc_id").alias("by_id"), F.xxhash64("text").alias("by_text"), stretches.alias("stretches"))
+    order = Window.partitionBy("lang").orderBy("by_id", "doc_id", "by_text")
+    chosen = cut.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= SAMPLE_PER_LANGUAGE)
+    rows = chosen.select("lang", "n", F.explode("stretches").alias("text")).filter("text <> ''").orderBy("lang", "n", "text").collect()
     return [(row["lang"], row["text"]) for row in rows]
 
 
