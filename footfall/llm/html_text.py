@@ -31,6 +31,7 @@ UNSEEN_TAGS = frozenset("script style noscript template iframe object svg math t
 HEAD_TAGS = frozenset("html head base link meta noscript script style template title".split())
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 CELLS = ("caption", "td", "th")
+AROUND_PARAGRAPH = (*CELLS, "table", "button")
 #: Starts of these end an open paragraph.
 ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote center details dialog div dl dd dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header"
@@ -70,7 +71,6 @@ HAVING = frozenset("has have with without no not is show hide hides js can".spli
 LAYOUTS = frozenset(
     "fixed image open opened sticky layout page visible enabled on off closed template active collapsed single theme".split()
 )
-_SPACE = re.compile(r"\s+")
 _CUT_TAG = re.compile(r"<[A-Za-z/!?]")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
@@ -139,17 +139,26 @@ class _Blocks(HTMLParser):
         self.at: dict[str, list[int]] = {}
         self.open_blocks: list[int] = []
 
+    def updatepos(self, i: int, j: int) -> int:
+        """Lines are not counted."""
+        return j
+
     def flush(self) -> None:
         if self.parts:
-            text = _SPACE.sub(" ", "".join(self.parts)).strip()
-            if text:
+            words = "".join(self.parts).split()
+            if words:
                 linked = len("".join(self.linked_parts).split())
-                self.blocks.append(Block(text, text.count(" ") + 1, linked, self.open[-1][3]))
+                self.blocks.append(Block(" ".join(words), len(words), linked, self.open[-1][3]))
             self.parts, self.linked_parts = [], []
 
     def _last(self, names: Iterable[str]) -> int:
         """Where the innermost open element of these names stands, 0 if none is open."""
-        return max((self.at[name][-1] for name in names if self.at.get(name)), default=0)
+        last = 0
+        for name in names:
+            where = self.at.get(name)
+            if where and where[-1] > last:
+                last = where[-1]
+        return last
 
     def _close(self, at: int) -> None:
         """Ends the element at `at` and all in it."""
@@ -166,12 +175,12 @@ class _Blocks(HTMLParser):
             self._close(self.at["head"][-1])
         if tag in ENDS_PARAGRAPH:
             paragraph = self._last(("p",))
-            if paragraph > self._last((*CELLS, "table", "button")):
+            if paragraph and paragraph > self._last(AROUND_PARAGRAPH):
                 self._close(paragraph)
         if tag in HEADINGS and self.open[-1][0] in HEADINGS:
             self._close(len(self.open) - 1)
-        ended, within = IMPLIED_ENDS.get(tag, ((), ()))
-        if ended:
+        if tag in IMPLIED_ENDS:
+            ended, within = IMPLIED_ENDS[tag]
             limit = self._last(within)
             starts = [self.at[name][-1] for name in ended if self.at.get(name) and self.at[name][-1] > limit]
             if starts:
@@ -365,13 +374,17 @@ def trained_tree() -> Node:
     return grow(*labelled_blocks())
 
 
+def extracted_texts(pages: Iterable[str], tree: Node) -> list[str]:
+    """The main text of each page: its blocks joined by line ends; '' if none is main text. All blocks go through the tree together."""
+    parsed = [blocks_of(html) for html in pages]
+    if not any(blocks for blocks, _ in parsed):
+        return [""] * len(parsed)
+    chosen = iter(main_blocks(tree, np.concatenate([features(blocks, places) for blocks, places in parsed])).tolist())
+    return ["\n".join([block.text for block in blocks if next(chosen)]) for blocks, _ in parsed]
+
+
 def extract(html: str, tree: Node) -> str:
-    """The main text of a page: its blocks joined by line ends; '' if none is main text."""
-    blocks, places = blocks_of(html)
-    if not blocks:
-        return ""
-    chosen = main_blocks(tree, features(blocks, places))
-    return "\n".join(block.text for block, main in zip(blocks, chosen, strict=True) if main)
+    return extracted_texts([html], tree)[0]
 
 
 def main_texts(rows: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
@@ -387,7 +400,7 @@ def main_texts(rows: DataFrame, id_column: str = "page_id", url_column: str = "u
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                texts = [extract(html.as_py() or "", tree) for html in part.column(2)]
+                texts = extracted_texts((html.as_py() or "" for html in part.column(2)), tree)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                     names=["page_id", "url", "text", "n_chars"],
