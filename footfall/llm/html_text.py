@@ -143,6 +143,14 @@ class _Blocks(HTMLParser):
         """Lines are not counted."""
         return j
 
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        """As HTML has it: `<!-->` is a whole comment, and one that is never closed lasts to the end."""
+        for whole in ("<!-->", "<!--->"):
+            if self.rawdata.startswith(whole, i):
+                return i + len(whole)
+        end = super().parse_comment(i, report)
+        return len(self.rawdata) if end < 0 else end
+
     def flush(self) -> None:
         if self.parts:
             words = "".join(self.parts).split()

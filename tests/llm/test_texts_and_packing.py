@@ -107,6 +107,9 @@ ARTICLE_TEXT = f"Title\n{LONG.strip()}\nShort.\n{LONG.strip()}"
         f"<div class=newsletter-page id=sidebarTheme><nav><a href=/>x</a></nav><article class=entry>{ARTICLE}</article><div class=comment-list><article><p>{LONG}</p></article></div></div>",
         f"<article><div class=post-header><h1>Title</h1></div>{ARTICLE.removeprefix('<h1>Title</h1>')}<div class=relatedPosts><article><p>{LONG}</p></article></div></article>",
         f"<article>{ARTICLE}</article><!-- cut off --><div class='",
+        f"<article>{ARTICLE}</article><!-- never closed <p>{LONG}</p>",
+        f"<!--><article><!-- a > b -->{ARTICLE}<!---></article>",
+        f"<script><!-- never closed </script><article>{ARTICLE}</article>",
         f"<b><article><i>{ARTICLE}</b></article></i><footer>Imprint",
     ],
 )
