@@ -12,6 +12,10 @@ copies. Here everything becomes *cells*: rows of dimension values with measures
   tuples. No visitor's tuples have to meet in one task: the join may be split where one visitor has
   very many, and the copies are merged by visitor, axes and values, spread over all of these.
 * Cells are added up over entities, and only then copied for their open axes.
+* With a detail axis, the tuples of an entity within one of its values, and later the cells of one value, are dealt to one task:
+  as many as the plain axes allow, once they are merged. What is left to do needs no further shuffle there, so that copies are
+  made and added up where they are, and only for axes on which the cells of that value differ. Copies for the others are what they
+  were copied from, and are made last.
 
 `rolled` has one bit per axis, 1 = rolled up. It, not a null or an empty text, tells the total
 from a raw value. `open` has one bit per axis still to be both kept and rolled up.
@@ -46,15 +50,21 @@ class Cube:
     `detail` is an axis that may have very many values (page, search word, city). It is rolled up
     ahead of the others, so that a visitor's tuples are compared within one detail value: even a
     visitor id shared by a third of the log has there no more tuples than the plain axes allow.
+    `second` is one more such axis, rolled up apart from the first.
     """
 
     keys: tuple[str, ...]
     axes: tuple[Axis, ...]
     detail: Axis | None = None
+    second: Axis | None = None
+
+    @property
+    def details(self) -> tuple[Axis, ...]:
+        return tuple(axis for axis in (self.detail, self.second) if axis)
 
     @property
     def all_axes(self) -> tuple[Axis, ...]:
-        return (*self.axes, self.detail) if self.detail else self.axes
+        return (*self.axes, *self.details)
 
     @property
     def fields(self) -> tuple[Field, ...]:
@@ -71,6 +81,22 @@ class Cube:
     def _every_axis(self) -> int:
         return (1 << len(self.axes)) - 1
 
+    @property
+    def _detail_columns(self) -> tuple[str, ...]:
+        return tuple(name for axis in self.details for name in axis.columns)
+
+    @property
+    def _no_detail(self) -> int:
+        """`rolled` of a row without any detail, bits of the plain axes left aside."""
+        return sum(self.bit(axis) for axis in self.details)
+
+    def _agreement(self, over: str = "") -> str:
+        """SQL for the axes on which all rows put together agree, as bits. An axis of several columns agrees where all of them do."""
+        return " + ".join(
+            f"CASE WHEN {' AND '.join(f'min({name}) {over} = max({name}) {over}' for name in axis.columns)} THEN {self.bit(axis)} ELSE 0 END"
+            for axis in self.axes
+        )
+
     def _subsets_of(self, bits: str) -> str:
         return f"element_at({_subsets(len(self.axes))}, {bits} + 1)"
 
@@ -87,10 +113,12 @@ class Cube:
         )
 
     def leaves(self, rows: DataFrame, kept: Sequence[str]) -> DataFrame:
-        """Rows at full dimension level; with a detail axis, also their copies without it."""
-        if self.detail is None:
+        """Rows at full dimension level; with detail axes, also their copies without them."""
+        if not self.details:
             return rows.selectExpr(*self.keys, *self.columns, *kept, f"0 AS {ROLLED}")
-        return self._roll(rows, [self.detail], f"array(0, {self.bit(self.detail)})", (*self.keys, *kept), "0")
+        whole = self._no_detail
+        masks = [str(mask) for mask in range(whole + 1) if mask & whole == mask]
+        return self._roll(rows, self.details, f"array({', '.join(masks)})", (*self.keys, *kept), "0")
 
     def distinct_cells(
         self,
@@ -105,30 +133,36 @@ class Cube:
         `leaves` are rows per (keys, dimension values, entity); `keys` are extra fixed keys.
         """
         fixed = (*self.keys, *keys)
-        together = (*fixed, *(self.detail.columns if self.detail else ()), *entity)
-        compared = self._with_open(leaves, together, (*flags, *sums))
-        others = (*fixed, *entity, *flags, *sums, OPEN)
-        copies = self._roll(compared, self.axes, self._subsets_of(f"({self._every_axis} - {OPEN})"), others)
-        return copies.groupBy(*fixed, OPEN, ROLLED, *self.columns, *entity).agg(
-            *(F.max(flag).alias(flag) for flag in flags), *(F.sum(name).alias(name) for name in sums)
-        )
+        measures = (*flags, *sums)
+        others = (*fixed, *entity, *measures, OPEN)
+
+        def cells(compared: DataFrame) -> DataFrame:
+            copies = self._roll(compared, self.axes, self._subsets_of(f"({self._every_axis} - {OPEN})"), others)
+            return copies.groupBy(*fixed, OPEN, ROLLED, *self.columns, *entity).agg(
+                *(F.max(flag).alias(flag) for flag in flags), *(F.sum(name).alias(name) for name in sums)
+            )
+
+        together = (*fixed, *self._detail_columns, *entity)
+        if not self.details:
+            return cells(self._with_open(leaves, together, measures))
+        # Without any detail an entity may have all its tuples of the day; with one, those that meet in a value.
+        whole = leaves.filter(f"{ROLLED} = {self._no_detail}")
+        detailed = leaves.filter(f"{ROLLED} <> {self._no_detail}")
+        over = f"OVER (PARTITION BY {', '.join(together)})"
+        compared = detailed.selectExpr("*", f"{self._agreement(over)} AS {OPEN}")
+        return cells(self._with_open(whole, together, measures)).unionByName(cells(compared))
 
     def _with_open(self, leaves: DataFrame, together: Sequence[str], measures: Sequence[str]) -> DataFrame:
         """The leaves with the axes on which all leaves of their entity agree, as bits.
 
-        An axis of several columns agrees where all of them do. Both sides of the join read the same
-        leaves, so they are computed once; that holds only while they use the same columns, which is why the entity's
+        Both sides of the join read the same leaves, so they are computed once; that holds only while they use the same columns, which is why the entity's
         measures are carried along and compared (an entity has no less than one of its leaves).
         """
-        agree = " + ".join(
-            f"CASE WHEN {' AND '.join(f'min({name}) = max({name})' for name in axis.columns)} THEN {self.bit(axis)} ELSE 0 END"
-            for axis in self.axes
-        )
         # With a key that later groupings don't have, the tuples stay free to be dealt out anew after the join.
         named = leaves.withColumn("entity_hash", F.xxhash64(*together))
         described = (
             named.groupBy("entity_hash", *together)
-            .agg(F.expr(f"{agree} AS {OPEN}"), *(F.max(name).alias(f"most_{name}") for name in measures))
+            .agg(F.expr(f"{self._agreement()} AS {OPEN}"), *(F.max(name).alias(f"most_{name}") for name in measures))
             .withColumnsRenamed({name: f"same_{name}" for name in ("entity_hash", *together)})
         )
         # Nulls come from rolling the detail axis up; they are one value here.
@@ -150,7 +184,19 @@ class Cube:
             )
 
         merged = added(cells, OPEN)
-        return added(self._roll(merged, self.axes, self._subsets_of(OPEN), (*self.keys, *measures)))
+        if not self.details:
+            return added(self._roll(merged, self.axes, self._subsets_of(OPEN), (*self.keys, *measures)))
+        # All copies of a cell stay in the task that has the cells of its detail. An axis on which those agree is open in all of them.
+        dealt = merged.repartition(*self.keys, *self._detail_columns)
+        over = f"OVER (PARTITION BY {', '.join((*self.keys, *self._detail_columns))}, {ROLLED} & {self._no_detail})"
+        filled = " & ".join(
+            f"CASE WHEN {' AND '.join(f'count({name}) {over} = count(1) {over}' for name in axis.columns)} THEN -1 ELSE {~self.bit(axis)} END"
+            for axis in self.axes
+        )
+        agreed = f"({self._agreement(over)}) & ({filled}) & (bit_and({OPEN}) {over})"
+        known = dealt.selectExpr("*", f"{agreed} AS agreed")
+        copies = self._roll(known, self.axes, self._subsets_of(f"({OPEN} & ~agreed)"), (*self.keys, *measures, "agreed"))
+        return self._roll(added(copies, "agreed"), self.axes, self._subsets_of("agreed"), (*self.keys, *measures), ROLLED)
 
     def report(self, totals: DataFrame, measures: Sequence[str]) -> DataFrame:
         """The totals with their dimension values as they read in the report."""

@@ -98,6 +98,34 @@ def test_a_visitor_with_very_many_tuples_does_not_meet_in_one_task(spark):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def copies_and_shuffles(frame) -> list[str]:
+    """From the result down, what makes copies, adds up, compares or shuffles."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    lines = [line.strip(" :+-*()0123456789") for line in plan.splitlines()[1:]]
+    kept = ("Exchange", "Generate", "HashAggregate", "Window", "Union", "Join")
+    return [line for line in lines if line.split("(")[0].split()[0] in kept] if lines else []
+
+
+@pytest.mark.parametrize("name", ["visituri_detail_bydate"])
+def test_copies_per_grouping_set_are_not_shuffled_within_a_detail(spark, name):
+    lines = copies_and_shuffles(report(name, log_of(spark, *random_events(seed=1, rows=5))))
+    words = [line.split("(")[0].split()[0] for line in lines]
+    dealt = words.index("Exchange")
+    assert words[:dealt] == ["Generate", "HashAggregate", "HashAggregate", "Generate", "Window"]
+    assert "REPARTITION_BY_COL" in lines[dealt] and "lib" not in lines[dealt]
+
+
+def test_an_entity_on_a_page_is_counted_once_whatever_shares_the_page(spark):
+    """Cells that agree on an axis are copied for it last: one page with one tuple, one with visitors apart on each axis."""
+    rows = [(1, "x", "x", "x", "one", "e", "p", 1, 1), (1, "x", "x", "x", "one", "e", "q", 1, 1)]
+    rows += [(1, a, b, "x", "two", "e", who, 1, 1) for who, a, b in (("p", "x", "x"), ("p", "y", "x"), ("q", "x", "y"))]
+    table = spark.createDataFrame(rows, "day int, a string, b string, c string, d string, e string, who string, f int, n int")
+    cube = Cube(("day",), AXES, DETAIL)
+    cells = cube.distinct_cells(cube.leaves(table, ("who", "f", "n")), ("who",), flags=("f",), sums=("n",))
+    found = cube.totals(cells, ("f", "n")).select("day", ROLLED, *COLUMNS, "f", "n").collect()
+    assert {tuple(one)[:7]: tuple(one)[7:] for one in found} == brute_force(rows) and len(found) == len(brute_force(rows))
+
+
 @pytest.mark.parametrize("buckets", [PAGE_VIEWS, VISITS, VISIT_SECONDS])
 def test_buckets_begin_at_their_least_value(spark, buckets):
     values = spark.range(4000).selectExpr("id", f"{bucket_of('id', buckets)} AS bucket").collect()
