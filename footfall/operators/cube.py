@@ -187,7 +187,9 @@ class Cube:
         if not self.details:
             return added(self._roll(merged, self.axes, self._subsets_of(OPEN), (*self.keys, *measures)))
         # All copies of a cell stay in the task that has the cells of its detail. An axis on which those agree is open in all of them.
-        dealt = merged.repartition(*self.keys, *self._detail_columns)
+        # A fixed number of tasks: few large ones, as adaptive execution makes them by what they read, would hold all its copies at once.
+        tasks = int(merged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dealt = merged.repartition(tasks, *self.keys, *self._detail_columns)
         over = f"OVER (PARTITION BY {', '.join((*self.keys, *self._detail_columns))}, {ROLLED} & {self._no_detail})"
         filled = " & ".join(
             f"CASE WHEN {' AND '.join(f'count({name}) {over} = count(1) {over}' for name in axis.columns)} THEN -1 ELSE {~self.bit(axis)} END"

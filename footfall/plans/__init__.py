@@ -87,14 +87,14 @@ REPORTS: dict[str, Report] = {
         Traffic(STANDARD, axis(SEARCH_WORD)), (*STD, "latest_search_keyword", *WITH_NEW)
     ),
     "searchword_summary_bydate": Report(
-        PageViews((*LIB_PROJECT, axis(FOLDED_SEARCH_WORD))),
+        PageViews(LIB_PROJECT, axis(FOLDED_SEARCH_WORD)),
         ("stat_date", "lib", "project_name", "latest_search_keyword", "pv"),
     ),
     "sourcesite_detail_bydate": Report(
         Traffic(STANDARD, axis(REFERRER)), (*STD, "latest_referrer_host", *WITH_NEW)
     ),
     "sourcesite_summary_bydate": Report(
-        PageViews((*LIB_PROJECT, axis(SOURCE_SITE))),
+        PageViews(LIB_PROJECT, axis(SOURCE_SITE)),
         ("stat_date", "lib", "project_name", "sourcesite", "pv"),
     ),
     "visituri_detail_bydate": Report(
@@ -104,7 +104,7 @@ REPORTS: dict[str, Report] = {
         cells=PAGE_CELLS,
     ),
     "visituri_summary_bydate": Report(
-        PageViews((*LIB_PROJECT, axis(PAGE_URL), axis(PAGE_TITLE))),
+        PageViews(LIB_PROJECT, axis(PAGE_URL), axis(PAGE_TITLE)),
         ("stat_date", "lib", "project_name", "url", "title", "pv"),
         cells=PAGE_CELLS,
     ),

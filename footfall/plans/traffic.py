@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from footfall.functions.events import IS_PAGE_VIEW
 from footfall.functions.fields import Axis, encode
@@ -64,12 +65,17 @@ class Traffic:
 
 @dataclass(frozen=True)
 class PageViews:
-    """Page views of each group."""
+    """Page views of each group; `detail` and `second` as in a cube."""
 
     axes: tuple[Axis, ...]
+    detail: Axis | None = None
+    second: Axis | None = None
 
     def __call__(self, log: DataFrame, first: date | None = None, last: date | None = None) -> DataFrame:
-        cube = Cube(("stat_date",), self.axes)
+        cube = Cube(("stat_date",), self.axes, self.detail, self.second)
         rows = encode(between_days(log, first, last), cube.fields)
         views = rows.selectExpr(*cube.keys, *cube.columns, f"CASE WHEN {IS_PAGE_VIEW} THEN {EVENTS} ELSE 0 END AS pv")
+        if cube.details:
+            # Summed per dimension tuple before they are copied; without details the totals do that.
+            views = views.groupBy(*cube.keys, *cube.columns).agg(F.sum("pv").alias("pv"))
         return cube.report(cube.totals(cube.open_cells(views, ("pv",)), ("pv",)), ("pv",))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+import re
+from collections import Counter
 from itertools import product
 
 import pytest
@@ -98,6 +101,23 @@ def test_a_visitor_with_very_many_tuples_does_not_meet_in_one_task(spark):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def test_two_details_equal_counting_every_grouping_set(spark):
+    """Sums over a cube with two detail axes, one with the value of a hot group, one with nulls in a plain axis."""
+    chance = random.Random(5)
+    rows = [
+        (chance.randint(1, 2), chance.choice(["x", "y", None]), chance.choice("xy"), "c", chance.choice(["hot", "hot", "d1", "d2", "d3"]), chance.choice("ef"), chance.randint(0, 3))
+        for _ in range(60)
+    ]
+    table = spark.createDataFrame(rows, "day int, a string, b string, c string, d string, e string, n int")
+    cube = Cube(("day",), AXES, axis(Field("d")), axis(Field("e")))
+    found = cube.totals(cube.open_cells(table, ("n",)), ("n",)).select("day", ROLLED, *COLUMNS, "n").collect()
+    wanted = Counter()
+    for day, *values, n in rows:
+        for mask in range(1 << 5):
+            wanted[day, mask, *(None if mask >> bit & 1 else value for bit, value in enumerate(values))] += n
+    assert {tuple(one)[:-1]: one["n"] for one in found} == dict(wanted) and len(found) == len(wanted)
+
+
 def copies_and_shuffles(frame) -> list[str]:
     """From the result down, what makes copies, adds up, compares or shuffles."""
     plan = frame._jdf.queryExecution().executedPlan().toString()
@@ -106,13 +126,21 @@ def copies_and_shuffles(frame) -> list[str]:
     return [line for line in lines if line.split("(")[0].split()[0] in kept] if lines else []
 
 
-@pytest.mark.parametrize("name", ["visituri_detail_bydate"])
+@pytest.mark.parametrize("name", ["visituri_detail_bydate", "visituri_summary_bydate", "sourcesite_summary_bydate"])
 def test_copies_per_grouping_set_are_not_shuffled_within_a_detail(spark, name):
     lines = copies_and_shuffles(report(name, log_of(spark, *random_events(seed=1, rows=5))))
     words = [line.split("(")[0].split()[0] for line in lines]
     dealt = words.index("Exchange")
     assert words[:dealt] == ["Generate", "HashAggregate", "HashAggregate", "Generate", "Window"]
-    assert "REPARTITION_BY_COL" in lines[dealt] and "lib" not in lines[dealt]
+    assert "REPARTITION_BY_NUM" in lines[dealt] and "lib" not in lines[dealt]
+
+
+def test_no_step_makes_many_copies_of_page_views(spark):
+    """At most one copy per set of the two page axes (4) before a shuffle; it was one per set of all four axes (16)."""
+    lines = copies_and_shuffles(report("visituri_summary_bydate", log_of(spark, *random_events(seed=1, rows=5))))
+    shuffled = lines[[line.startswith("Exchange") for line in lines].index(True) :]
+    made = [line for line in shuffled if line.startswith("Generate")]
+    assert len(made) == 1 and re.search(r"explode\(\[0,\s*4,\s*8,\s*12\]\)", made[0]), made
 
 
 def test_an_entity_on_a_page_is_counted_once_whatever_shares_the_page(spark):
